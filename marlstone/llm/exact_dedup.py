@@ -74,7 +74,8 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     flagged = _with_maybe(digests, repeated_bits(digests, slots), slots, "digest", "maybe")
     alone = flagged.filter("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest")
     maybe = flagged.filter("maybe").select("doc_id", "digest")
-    groups = maybe.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # as a table of its own: both sides of the join are then dealt out anew, and Spark can split a group that is hot
+    groups = stored(maybe.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     grouped = maybe.join(groups, "digest").select("doc_id", "keep_id", "group_size", "digest")
     return alone.unionByName(grouped).select(
         "doc_id", "keep_id", "group_size",
@@ -91,8 +92,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slots = _slots_for(digests.count())
     bits = stored(repeated_bits(digests, slots), "bits")
     maybe = _with_maybe(digests, bits, slots, "digest", "maybe").filter("maybe")
-    groups = maybe.groupBy("digest").agg(F.max("doc_id").alias("_ms_keep"), F.count("*").alias("_ms_size"))
-    groups = groups.select(F.col("digest").alias("_ms_of"), "_ms_keep")
+    groups = stored(maybe.groupBy("digest").agg(F.max("doc_id").alias("_ms_keep")), "groups").select(F.col("digest").alias("_ms_of"), "_ms_keep")
     rows = _with_maybe(docs.withColumn("_ms_digest", digest), bits, slots, "_ms_digest", "_ms_maybe")
     alone = rows.filter("not _ms_maybe").select(*names)
     best = rows.filter("_ms_maybe").join(
