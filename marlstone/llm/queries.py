@@ -20,6 +20,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions(_read(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import scan
+
+    return scan(_read(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -38,6 +44,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op10_url_filter": op10_url_filter,
 }
