@@ -5,7 +5,7 @@ Pass two tests each row: if any of its bits was set once only, the text is uniqu
 straight through; only the others are shuffled by digest and grouped exactly.
 
 What is moved: pass one deals out slot numbers (8 bytes, summed before the shuffle), never texts; the filter that is
-broadcast has at most MAX_SLOTS bits whatever the input. Beyond ROWS_AT_BOUND rows more unique rows look
+broadcast has at most bloom.MAX_SLOTS bits whatever the input. Beyond some four million rows more and more unique rows look
 repeated and are shuffled for nothing, but the result stays exact.
 
 Defined cases: null text counts as empty; repeated rows of one doc_id and text count as rows of the group and all
@@ -20,58 +20,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .shared import stored
 
-SLOTS_PER_ROW = 32
-MAX_SLOTS = 1 << 27  # 16 MB of bits: the bound of what is broadcast
-ROWS_AT_BOUND = MAX_SLOTS // SLOTS_PER_ROW
-PROBES = 2
-
-
-def _slots(digest: Column, slots: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(digest, F.lit(seed)), F.lit(slots)) + 1 for seed in range(PROBES)]
-
-
-def repeated_bits(digests: DataFrame, slots: int) -> DataFrame:
-    """(bucket, bits): for each slot that more than one row has set, its bit; at most slots / 8 bytes in all."""
-    counted = (
-        digests.select(F.explode(F.array(*_slots(F.col("digest"), slots))).alias("slot"))
-        .groupBy("slot").agg(F.count("*").alias("times"))
-        .filter("times > 1")
-    )
-    return counted.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
-    )
-
-
-def _with_maybe(rows: DataFrame, bits: DataFrame, slots: int, digest: str, flag: str) -> DataFrame:
-    """Adds the flag: whether every bit of the row was set more than once."""
-    keep = rows.columns
-    test = F.lit(True)
-    for k, slot in enumerate(_slots(F.col(digest), slots)):
-        side = F.broadcast(bits.select(F.col("bucket").alias(f"_ms_bucket{k}"), F.col("bits").alias(f"_ms_bits{k}")))
-        rows = rows.withColumn(f"_ms_slot{k}", slot)
-        rows = rows.join(side, F.bitmap_bucket_number(f"_ms_slot{k}") == F.col(f"_ms_bucket{k}"), "left")
-        test = test & F.expr(
-            f"coalesce(shiftright(cast(conv(hex(substring(_ms_bits{k}, cast(bitmap_bit_position(_ms_slot{k}) div 8 as int) + 1, 1)), 16, 10) as int),"
-            f" cast(bitmap_bit_position(_ms_slot{k}) % 8 as int)) & 1, 0) = 1"
-        )
-    return rows.select(*[F.col(f"`{c}`") for c in keep], test.alias(flag))
-
-
 def _digest(text: str, normalise: Callable[[Column], Column]) -> Column:
     return F.unhex(F.sha2(normalise(F.coalesce(F.col(f"`{text}`"), F.lit(""))), 256))
 
 
-def _slots_for(rows: int) -> int:
-    return min(MAX_SLOTS, max(1 << 15, 1 << (rows * SLOTS_PER_ROW - 1).bit_length()))
-
-
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Callable[[Column], Column] = lambda c: c) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. Texts are read once."""
     digests = stored(docs.select(F.col(f"`{id_col}`").alias("doc_id"), _digest(text_col, normalise).alias("digest")), "digests")
-    slots = _slots_for(digests.count())
-    flagged = _with_maybe(digests, repeated_bits(digests, slots), slots, "digest", "maybe")
+    slots = bloom.slots_for(digests.count())
+    flagged = bloom.with_test(digests, F.col("digest"), bloom.bits_set_twice(digests, "digest", slots), slots, "maybe")
     alone = flagged.filter("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "digest")
     maybe = flagged.filter("maybe").select("doc_id", "digest")
     # as a table of its own: both sides of the join are then dealt out anew, and Spark can split a group that is hot
@@ -89,11 +49,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [F.col(f"`{c}`") for c in docs.columns]
     digest = _digest(text_col, normalise)
     digests = stored(docs.select(F.col(f"`{id_col}`").alias("doc_id"), digest.alias("digest")), "digests")
-    slots = _slots_for(digests.count())
-    bits = stored(repeated_bits(digests, slots), "bits")
-    maybe = _with_maybe(digests, bits, slots, "digest", "maybe").filter("maybe")
+    slots = bloom.slots_for(digests.count())
+    bits = stored(bloom.bits_set_twice(digests, "digest", slots), "bits")
+    maybe = bloom.with_test(digests, F.col("digest"), bits, slots, "maybe").filter("maybe")
     groups = stored(maybe.groupBy("digest").agg(F.max("doc_id").alias("_ms_keep")), "groups").select(F.col("digest").alias("_ms_of"), "_ms_keep")
-    rows = _with_maybe(docs.withColumn("_ms_digest", digest), bits, slots, "_ms_digest", "_ms_maybe")
+    rows = bloom.with_test(docs.withColumn("_ms_digest", digest), F.col("_ms_digest"), bits, slots, "_ms_maybe")
     alone = rows.filter("not _ms_maybe").select(*names)
     best = rows.filter("_ms_maybe").join(
         groups, (F.col("_ms_digest") == F.col("_ms_of")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_ms_keep"))

@@ -32,6 +32,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import classes
+
+    return classes(_read(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import judge
 
@@ -52,6 +58,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_url_filter": op10_url_filter,
 }
