@@ -32,6 +32,13 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_read(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, identify
+
+    docs = _read(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import classes
 
@@ -58,9 +65,11 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_language_id": op5_language_id,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
