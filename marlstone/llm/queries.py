@@ -45,6 +45,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score
+
+    return score(_read(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import classes
 
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_secret_scan": op3_secret_scan,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
+    "op6_lm_score": op6_lm_score,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontamination": op8_decontamination,
     "op10_url_filter": op10_url_filter,
