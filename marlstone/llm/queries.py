@@ -63,6 +63,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import scan
+
+    return scan(_read(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op6_lm_score": op6_lm_score,
     "op7_near_dedup": op7_near_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_pii": op9_pii,
     "op10_url_filter": op10_url_filter,
     "pipeline": pipeline,
 }
