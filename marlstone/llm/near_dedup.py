@@ -7,9 +7,9 @@ which is the plain Jaccard where all weights are equal.
 
 Documents with the same words are one node. Nodes that agree on all ROWS components of one of BANDS bands are candidates. Groups in
 a bucket are never paired out: each member is checked against one pivot, then against a second pivot outside the first one's
-component. What is still apart in a bucket is dealt out anew by two bands at once, and there members of different components
-with sizes in range are checked with each other. A link is a Jaccard of the sets of shingles of at least SIMILARITY, found from the whole
-texts. At a similarity of 0.8 no band of the 32 agrees with probability 5e-8, fewer than two with 1e-6. Classes are the connected components.
+component. Members that are still apart in a bucket are joined exactly by prefixes of their rarest shingles. A link is a Jaccard of
+the sets of shingles of at least SIMILARITY, found from the whole texts. At a similarity of 0.8 no band of the 32 agrees with
+probability 5e-8. Classes are the connected components.
 
 Words: runs of ASCII letters and digits and of other characters than ASCII, A-Z in lower case. Defined cases: null text counts as empty; a text of one to four words
 is one shingle; texts without words are alike only if equal; of equal doc_ids all rows get their class; ties can't occur, as
@@ -36,6 +36,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 COMPONENTS = BANDS * ROWS
 REMEMBERED = 300_000
+FREQUENT = 1_000_000  # shingles whose counts go to every task: 16 MB
 
 # Odd multipliers; any would do.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -225,18 +226,76 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
     others = apart.join(second.select("bucket", "second"), "bucket").filter("label <> second").select("bucket", "node", "size")
     edges = stored(edges.union(verified(_against_pivots(others, second.drop("second"), similarity), sets, similarity)), "links")
     labels = components(edges)
-    # what is still apart, dealt out by two bands at once
+    # what is still apart in a bucket is joined exactly
     apart = _labelled(apart.drop("label"), labels)
     split = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    apart = apart.join(split, "bucket").join(nodes.select("node", "bands"), "node")
-    finer = apart.select("node", "size", "label", "bucket", F.explode("bands").alias("other")).filter("other <> bucket")
-    finer = stored(finer.select("node", "size", "label", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("pair")).distinct(), "finer")
-    mixed_pairs = finer.groupBy("pair").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("pair")
-    finer = stored(finer.join(mixed_pairs, "pair"), "finer")
-    left = finer.select("pair", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
-    right = finer.select("pair", F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("label").alias("v_label"))
-    rest = left.join(right, "pair").filter((F.col("u") < F.col("v")) & (F.col("u_label") != F.col("v_label")) & _in_range(similarity)).select("u", "v").distinct()
-    return stored(edges.union(verified(rest, sets, similarity)), "links")
+    apart = apart.join(split, "bucket").select("node", "size", "label").distinct()
+    apart = stored(apart.join(sets, "node"), "apart")
+    if apart.isEmpty():
+        return edges
+    return stored(edges.union(verified(by_prefixes(apart, similarity), sets, similarity)), "links")
+
+
+def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most FREQUENT shingles in order, those in most of the rows, and their counts."""
+
+    def make() -> Callable:
+        def one(batch):
+            all_of = np.concatenate([np.frombuffer(x, np.uint64) for x in batch.column(0).to_pylist()])
+            s, n = np.unique(all_of, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+        return one
+
+    counts = stored(arrow_map(rows.select("shingles"), make, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 2"), "frequent")
+    least, taken = 1 << 62, 0
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("kinds")).collect(), key=lambda r: -r.n):
+        if taken + r.kinds > FREQUENT:
+            break
+        least, taken = r.n, taken + r.kinds
+    got = counts.filter(F.col("n") >= least).toArrow()
+    s, n = got.column("shingle").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(s)
+    return s[order], n[order]
+
+
+def by_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
+    """rows: node, size, label, shingles. Pairs (u, v) of different labels that may be so similar, none left out.
+
+    All sets are put in one order, rare shingles first. Of n shingles the first n - ceil(similarity * n) + 1 are the prefix; two sets as similar as that
+    share a shingle of their prefixes. Shingles of passages that many documents share come last and so bring hardly any pairs together.
+    """
+    shipped = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
+
+    def make() -> Callable:
+        known, counts = shipped.value
+
+        def one(batch):
+            taken, prefix = [], []
+            for k, x in enumerate(batch.column(3).to_pylist()):
+                s = np.frombuffer(x, np.uint64)
+                n = np.zeros(len(s), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    n = np.where(known[at] == s, counts[at], 0)
+                # similarity * n is rounded down a little, so that no set just at the bound is missed
+                most = len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1
+                first = s[np.lexsort((s, n))[:most]]
+                prefix.append(first.view(np.int64))
+                taken.append(np.full(len(first), k))
+            which = pa.array(np.concatenate(taken))
+            cols = [batch.column(k).take(which) for k in range(3)]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefix)), *cols], names=["shingle", "node", "size", "label"])
+
+        return one
+
+    placed = arrow_map(rows.select("node", "size", "label", "shingles"), make, "shingle long, node binary, size long, label binary")
+    placed = stored(placed, "prefixes")
+    mixed_ones = placed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
+    placed = stored(placed.join(mixed_ones, "shingle"), "prefixes")
+    left = placed.select("shingle", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
+    right = placed.select("shingle", F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("label").alias("v_label"))
+    return left.join(right, "shingle").filter((F.col("u") < F.col("v")) & (F.col("u_label") != F.col("v_label")) & _in_range(similarity)).select("u", "v").distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -77,3 +77,19 @@ def test_edges(spark):
     got = sorted(((r.doc_id, r.class_id, r.class_size) for r in N.classes(df).collect()), key=repr)
     assert got == sorted([(None, 5, 2), (5, 5, 2), (6, 6, 1), (7, 7, 3), (7, 7, 3), (9, 7, 3), (8, 8, 1)], key=repr)
     assert N.classes(df.limit(0)).count() == 0
+
+
+def test_prefix_join_misses_nothing(spark):
+    """All pairs of sets at or above the bound are among those the prefixes bring together."""
+    rng = np.random.default_rng(6)
+    common = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = []
+    for k in range(60):
+        own = rng.integers(0, 2**63, 40, dtype=np.uint64)
+        for j in range(4):
+            part = np.concatenate([common[: rng.integers(20, 60)], own[: 40 - 3 * j]])
+            sets.append((bytes([k, j]), np.unique(part)))
+    rows = spark.createDataFrame([(n, len(s), n, s.tobytes()) for n, s in sets], "node binary, size long, label binary, shingles binary")
+    got = {(bytes(r.u), bytes(r.v)) for r in N.by_prefixes(rows, 0.8).collect()}
+    want = {(a, b) for a, x in sets for b, y in sets if a < b and N.jaccard(x.tobytes(), y.tobytes()) >= 0.8}
+    assert want and want <= got
