@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import aggregation, filters, joins  # noqa: F401
+from .registry import COVERS, ORACLES, QUERIES
+
 FLAGSHIP = "m_metric_distribution"
+__all__ = ["COVERS", "FLAGSHIP", "ORACLES", "QUERIES"]
