@@ -59,7 +59,7 @@ def entropy(c: Column) -> Column:
     return F.when(n > 0, F.log2(n) - inside / n).otherwise(F.lit(0.0))
 
 
-def _once(value: Column, body) -> Column:
+def once(value: Column, body) -> Column:
     """body(value) with value worked out once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -72,7 +72,7 @@ def top_gram_ratio(c: Column, n: int = 5) -> Column:
         top = _runs(F.array_sort(grams), F.lit(0), lambda t, r: F.greatest(t, r))
         return F.when(F.size(words) > n, top / (F.size(words) - n + 1)).otherwise(F.lit(0.0))
 
-    return _once(F.filter(F.split(c, r"\s+"), lambda x: x != ""), ratio)
+    return once(F.filter(F.split(c, r"\s+"), lambda x: x != ""), ratio)
 
 
 def symbol_density(c: Column, symbols: str = "\\${}[]_^") -> Column:

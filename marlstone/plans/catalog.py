@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregation, filters, joins, numbers, ordering, text  # noqa: F401
+from . import aggregation, extraction, filters, graph, joins, numbers, ordering, text, vectors  # noqa: F401
 from .registry import COVERS, ORACLES, QUERIES
 
 FLAGSHIP = "m_metric_distribution"
