@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import arrow_map, stored
+from .shared import arrow_map, bounded_sample, stored
 
 FIT_ROWS = 4000
 BUCKETS = 1 << 16
@@ -64,7 +64,7 @@ LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
     """Counts of runs by language in a bounded sample of labelled rows."""
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{label_col}`").alias("label")).filter("text is not null and label is not null")
-    sample = rows.orderBy(F.xxhash64("text", "label"), "label").limit(fit_rows)
+    sample = bounded_sample(rows, fit_rows)
 
     def make() -> Callable:
         def one(batch):
@@ -102,12 +102,12 @@ def likelihoods(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.n
         score = table[runs_of(data)]
         for j in range(1, len(held)):  # runs across texts count for none
             score[ends[j - 1] - 2 : ends[j - 1]] = 0
-        out[held] = np.add.reduceat(score, ends - lengths, axis=0)
+        out[held] = np.add.reduceat(score, ends - lengths, axis=0, dtype=np.float64)
 
     for k, t in enumerate(texts):
         if len(t) > CHUNK:  # a long text by itself, in parts that overlap by two bytes
             for a in range(0, len(t) - 2, CHUNK):
-                out[k] += table[runs_of(t[a : a + CHUNK + 2])].sum(axis=0)
+                out[k] += table[runs_of(t[a : a + CHUNK + 2])].sum(axis=0, dtype=np.float64)
         elif len(t) > 2:
             held.append(k)
             size += len(t)
@@ -122,13 +122,13 @@ def likelihoods(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.n
 def host_priors(rows: DataFrame, languages: list[str], host: str = "_ms_host", declared: str = "_ms_declared") -> DataFrame:
     """_ms_of (host) and _ms_prior (shares in the order of languages), smoothed from host to domain to all rows."""
     real = languages[:-1]
-    counts = rows.groupBy(host).agg(*[F.sum((F.col(declared).eqNullSafe(x)).cast("double")).alias(f"n{k}") for k, x in enumerate(real)])
+    counts = rows.groupBy(host).agg(F.count("*").alias("_ms_rows"), *[F.sum((F.col(declared).eqNullSafe(x)).cast("double")).alias(f"n{k}") for k, x in enumerate(real)])
     counts = stored(counts.withColumn("_ms_domain", F.substring_index(host, ".", -2)), "hosts")
     sums = [F.sum(f"n{k}").alias(f"n{k}") for k in range(len(real))]
     row = counts.agg(*sums).first() if real else []
     everywhere = [(x or 0.0) + 1.0 for x in row]
     everywhere = [x / sum(everywhere) for x in everywhere]
-    by_domain = counts.groupBy("_ms_domain").agg(*[F.sum(f"n{k}").alias(f"d{k}") for k in range(len(real))])
+    by_domain = counts.groupBy("_ms_domain").agg(F.count("*").alias("_ms_hosts"), *[F.sum(f"n{k}").alias(f"d{k}") for k in range(len(real))])
     both = counts.join(by_domain.withColumnRenamed("_ms_domain", "_ms_in"), F.col("_ms_domain").eqNullSafe(F.col("_ms_in")))
 
     def total(letter: str) -> Column:

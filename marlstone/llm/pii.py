@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tagger
-from .shared import arrow_map
+from .shared import arrow_map, bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, MARGIN = 64, 24
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS) -> ta
     """Weights learned from windows of at most fit_docs documents, those of least hash that hold a digit or an @ and have at most
     FIT_CHARS characters: the bound of what the driver gets."""
     rows = docs.select(F.col(f"`{text_col}`").alias("text")).filter(f"length(text) <= {FIT_CHARS} and text rlike '[0-9@]'")
-    texts = [r.text for r in rows.orderBy(F.xxhash64("text"), "text").limit(fit_docs).collect()]
+    texts = sorted(r.text for r in bounded_sample(rows, fit_docs).collect())
     return tagger.train(*examples(texts, EXAMPLES), len(_tag), STEPS, BATCH)
 
 

@@ -56,3 +56,15 @@ def ascii_lower(c: Column) -> Column:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def bounded_sample(df: DataFrame, most: int) -> DataFrame:
+    """At most `most` different rows of df, those of least hash, for fitting a classifier.
+
+    Only rows below a bound on the hash, about four times as many as asked for, are moved; copies of a row are made one before.
+    """
+    total = df.count()
+    share = min(1.0, 4 * most / total) if total else 1.0
+    bound = int(-(2**63) + share * (2**64 - 1))
+    hashed = df.withColumn("_ms_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).filter(F.col("_ms_hash") <= min(bound, 2**63 - 1))
+    return hashed.dropDuplicates(["_ms_hash"]).orderBy("_ms_hash").limit(most).drop("_ms_hash")

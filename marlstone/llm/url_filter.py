@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, stored
+from .shared import ascii_lower, bounded_sample, stored
 
 FIT_ROWS = 20_000
 TREES, DEPTH = 12, 4
@@ -114,7 +114,7 @@ def _tree(node, features: list[str]) -> Column:
 
 def fit(labelled: DataFrame) -> Column:
     """labelled has the features and y (0.0, 1.0: block). Returns the trees' margin, above 0 for block."""
-    sample = stored(labelled.select(*FEATURES, "y").orderBy(F.xxhash64(*FEATURES), *FEATURES, "y").limit(FIT_ROWS), "fit").coalesce(1)
+    sample = stored(bounded_sample(labelled.select(*FEATURES, "y"), FIT_ROWS), "fit").coalesce(1)
     seen = {r.y for r in sample.select("y").distinct().collect()}
     if len(seen) < 2:
         return F.lit(1.0 if seen == {1.0} else -1.0)
