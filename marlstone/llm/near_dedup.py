@@ -176,7 +176,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 def _in_range(similarity: float):
     """Sets whose sizes differ by more can't be so similar."""
-    return F.least("u_size", "v_size") >= F.lit(similarity) * F.greatest("u_size", "v_size")
+    return F.least("u_size", "v_size") >= F.lit(similarity) * F.greatest("u_size", "v_size") - 1e-9
 
 
 def _against_pivots(members: DataFrame, pivots: DataFrame, similarity: float) -> DataFrame:
@@ -264,14 +264,17 @@ def by_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
 
     All sets are put in one order, rare shingles first. Of n shingles the first n - ceil(similarity * n) + 1 are the prefix; two sets as similar as that
     share a shingle of their prefixes. Shingles of passages that many documents share come last and so bring hardly any pairs together.
+    Of a pair, the shorter set's first shared shingle is among its first n - ceil(2 * similarity / (1 + similarity) * n) + 1, and what follows the first shared shingle
+    in both must be enough for the overlap that the similarity asks for; pairs that fail this at all shared shingles are left out in the join itself.
     """
+    overlap = similarity / (1 + similarity)  # of the sum of both sizes
     shipped = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows))
 
     def make() -> Callable:
         known, counts = shipped.value
 
         def one(batch):
-            taken, prefix = [], []
+            taken, prefix, place = [], [], []
             for k, x in enumerate(batch.column(3).to_pylist()):
                 s = np.frombuffer(x, np.uint64)
                 n = np.zeros(len(s), np.int64)
@@ -283,19 +286,24 @@ def by_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
                 first = s[np.lexsort((s, n))[:most]]
                 prefix.append(first.view(np.int64))
                 taken.append(np.full(len(first), k))
+                place.append(np.arange(len(first)))
             which = pa.array(np.concatenate(taken))
             cols = [batch.column(k).take(which) for k in range(3)]
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefix)), *cols], names=["shingle", "node", "size", "label"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefix)), pa.array(np.concatenate(place)), *cols], names=["shingle", "place", "node", "size", "label"])
 
         return one
 
-    placed = arrow_map(rows.select("node", "size", "label", "shingles"), make, "shingle long, node binary, size long, label binary")
+    placed = arrow_map(rows.select("node", "size", "label", "shingles"), make, "shingle long, place long, node binary, size long, label binary")
     placed = stored(placed, "prefixes")
     mixed_ones = placed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
     placed = stored(placed.join(mixed_ones, "shingle"), "prefixes")
-    left = placed.select("shingle", F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
-    right = placed.select("shingle", F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("label").alias("v_label"))
-    return left.join(right, "shingle").filter((F.col("u") < F.col("v")) & (F.col("u_label") != F.col("v_label")) & _in_range(similarity)).select("u", "v").distinct()
+    left = placed.filter(F.col("place") <= F.col("size") - F.lit(2 * overlap) * F.col("size") + 1e-9)
+    left = left.select("shingle", F.col("place").alias("i"), F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
+    right = placed.select("shingle", F.col("place").alias("j"), F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("label").alias("v_label"))
+    shorter = (F.col("u_size") < F.col("v_size")) | ((F.col("u_size") == F.col("v_size")) & (F.col("u") < F.col("v")))
+    enough = F.least(F.col("u_size") - F.col("i"), F.col("v_size") - F.col("j")) >= F.lit(overlap) * (F.col("u_size") + F.col("v_size")) - 1e-9
+    found = left.join(right, "shingle").filter(shorter & enough & (F.col("u_label") != F.col("v_label")) & _in_range(similarity))
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
