@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import predicates as P
+from ..operators.quantiles import exact_quantiles
 from .registry import Tables, query
 
 
@@ -65,12 +66,12 @@ def a_sample_stddev(t: Tables) -> DataFrame:
        round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99, min(value) AS low, max(value) AS high FROM events GROUP BY 1""",
 )
 def a_percentiles(t: Tables) -> DataFrame:
-    # exact percentiles count equal values before they are dealt out
-    q = lambda p: F.round(F.percentile("value", p), 6)
-    return t.events.groupBy("event_type").agg(
-        F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev("value"), 6).alias("std"), q(0.5).alias("mid"), q(0.25).alias("p25"), q(0.75).alias("p75"),
-        q(0.95).alias("p95"), q(0.99).alias("p99"), F.min("value").alias("low"), F.max("value").alias("high"),
+    base = t.events.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev("value"), 6).alias("std"), F.min("value").alias("low"), F.max("value").alias("high")
     )
+    shares = {"mid": 0.5, "p25": 0.25, "p75": 0.75, "p95": 0.95, "p99": 0.99}
+    q = exact_quantiles(t.events, "event_type", "value", shares)
+    return base.join(q.select("event_type", *[F.round(c, 6).alias(c) for c in shares]), "event_type", "left")
 
 
 _DOMAIN_SQL = "CASE WHEN p_type ILIKE '%promo%' THEN 'offer' WHEN p_type ILIKE '%large%' OR p_type ILIKE '%medium%' THEN 'big' WHEN p_type ILIKE '%small%' THEN 'little' ELSE 'other' END"

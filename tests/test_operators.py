@@ -137,3 +137,21 @@ def test_best_context(spark):
     rows = spark.createDataFrame([(text,), ("none here",), (None,), ("SAR",)], "t string").select(best_context("t", "SAR", ["flood", "map"], 30).alias("c")).collect()
     k = text.index("SAR mapping")
     assert [r.c for r in rows] == [text[k - 30 : k + 33], None, None, "SAR"]
+
+
+def test_quantiles_and_samples(spark):
+    import numpy as np
+
+    from marlstone.operators.quantiles import exact_quantiles
+    from marlstone.operators.sampling import stratified
+
+    rng = np.random.default_rng(2)
+    groups = {"a": rng.normal(size=301), "b": np.array([3.0]), "c": np.array([1.0, 1.0, 1.0, 9.0]), "d": np.concatenate([rng.random(200) * 1e-9, [1e9]])}
+    rows = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs] + [("e", None)], "g string, v double")
+    got = {r.g: r for r in exact_quantiles(rows, "g", "v", {"q25": 0.25, "q50": 0.5, "q99": 0.99, "q100": 1.0}).collect()}
+    assert set(got) == set("abcd")
+    for g, vs in groups.items():
+        assert np.allclose([got[g].q25, got[g].q50, got[g].q99, got[g].q100], np.quantile(vs, [0.25, 0.5, 0.99, 1.0]))
+    docs = spark.range(3000).select(F.col("id"), F.when(F.col("id") < 3, "small").otherwise("big").alias("s"))
+    took = stratified(docs, "s", "id", 0.1, 5).groupBy("s").count().collect()
+    assert {r.s: r["count"] for r in took} == {"small": 3, "big": 300}
