@@ -2,33 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (local runs)."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = getattr(spark.sparkContext, "_marlstone_folder", None)
-        if folder is None:
-            folder = spark.sparkContext._marlstone_folder = "file://" + tempfile.mkdtemp(prefix="marlstone-")
-    return folder
+from ..sources.tables import stored  # noqa: F401 - written to the folder that all executors share
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it again: lineage ends here, and lost executors cost no rerun."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/marlstone/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def small_batches(spark: SparkSession) -> None:
