@@ -6,8 +6,8 @@ the latest of all components (early termination). Components of two documents ag
 which is the plain Jaccard where all weights are equal.
 
 Documents with the same words are one node. Nodes that agree on all ROWS components of one of BANDS bands are candidates. Groups in
-a bucket are never paired out: each member is checked against one pivot, then against a second pivot outside the first one's
-component. Members that are still apart in a bucket are joined exactly by prefixes of their rarest shingles. A link is a Jaccard of
+a bucket are never paired out: each member is checked against one pivot; those outside its component against PIVOTS members of it, which differ from bucket to
+bucket; and all against a pivot outside it. Members that are still apart in a bucket are joined exactly by prefixes of their rarest shingles. A link is a Jaccard of
 the sets of shingles of at least SIMILARITY, found from the whole texts. At a similarity of 0.8 no band of the 32 agrees with
 probability 5e-8. Classes are the connected components.
 
@@ -34,6 +34,7 @@ from .shared import arrow_map, stored
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
+PIVOTS = 4
 COMPONENTS = BANDS * ROWS
 REMEMBERED = 300_000
 FREQUENT = 1_000_000  # shingles whose counts go to every task: 16 MB
@@ -217,14 +218,21 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
     apart = stored(apart.join(split, "bucket"), "apart")
     if apart.isEmpty():
         return edges
-    pivots = shared.join(labels.withColumnRenamed("node", "v"), "v", "left").select("bucket", F.coalesce("label", "v").alias("first"))
-    outside = apart.join(pivots, "bucket").filter("label <> first")
+    first = shared.join(labels.withColumnRenamed("node", "v"), "v", "left").select("bucket", F.coalesce("label", "v").alias("first"))
+    apart = stored(apart.join(first, "bucket"), "apart")
+    outside = apart.filter("label <> first")
+    # some members of the first pivot's component, others in each bucket, for those outside it
+    inside = apart.filter("label = first").groupBy("bucket").agg(*[F.min_by(F.struct("node", "size"), F.xxhash64("bucket", "node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)])
+    inside = inside.select("bucket", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p")).select("bucket", F.col("p.node").alias("v"), F.col("p.size").alias("v_size")).distinct()
+    # and one outside for all the others
     second = stored(
         outside.groupBy("bucket").agg(F.max(F.struct("node", "size", "label")).alias("p"))
         .select("bucket", F.col("p.node").alias("v"), F.col("p.size").alias("v_size"), F.col("p.label").alias("second")), "pivots",
     )
     others = apart.join(second.select("bucket", "second"), "bucket").filter("label <> second").select("bucket", "node", "size")
-    edges = stored(edges.union(verified(_against_pivots(others, second.drop("second"), similarity), sets, similarity)), "links")
+    pairs = _against_pivots(outside, inside, similarity).union(_against_pivots(others, second.drop("second"), similarity)).distinct()
+    edges = stored(edges.union(verified(pairs, sets, similarity)), "links")
+    apart = apart.drop("first")
     labels = components(edges)
     # what is still apart in a bucket is joined exactly
     apart = _labelled(apart.drop("label"), labels)
