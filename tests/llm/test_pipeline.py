@@ -51,3 +51,23 @@ def test_pipeline(spark, sf_dir):
     assert (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all()
     assert got.groupby("sequence_id").length.sum().max() <= 1024
     assert got.sequence_id.nunique() <= 1.01 * -(-got.length.sum() // 1024) + 1
+
+
+def test_stages_on_odd_tables(spark, sf_dir):
+    """Nulls in every column, repeated rows, columns whose names the operators use themselves, and an empty table."""
+    text = "The was and of in the thing that was with the other one and more of it than of this"
+    rows = [(1, text, "en", "a", 3, None), (2, text, "en", "a", 3, "x"), (2, text, "en", "a", 3, "x"), (3, text + " also", None, None, None, "x"), (None, None, None, None, None, None), (5, "", "en", "a", 0, "x"), (6, text.upper(), "en", "a", 1, "x")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, {} string"
+    for name in ("digest", "bucket", "node", "label", "contaminated"):
+        docs = spark.createDataFrame(rows, schema.format(name))
+        for _, stage in corpus_pipeline.STAGES[:2] + corpus_pipeline.STAGES[3:4]:
+            out = stage(spark, docs, sf_dir)
+            assert out.columns == docs.columns and out.count() <= len(rows)
+    docs = spark.createDataFrame(rows, schema.format("node"))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    # 3 has one word more than 1, 6 is in capitals; a null text is in the class of the empty one
+    got = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert kept.columns == docs.columns and 1 in got and 5 in got and not {2, 3, 6} & {*got}
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    assert corpus_pipeline.pack_sequences(spark, docs, sf_dir).count() == len(rows)
