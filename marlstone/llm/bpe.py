@@ -12,7 +12,7 @@ import re
 from array import array
 
 SPACES = re.compile(r"\s\s")
-REMEMBERED = 300_000  # words; later ones are encoded each time
+REMEMBERED = 120_000  # words; later ones are encoded each time
 LONGEST = 64  # characters of a word that is remembered
 
 

@@ -68,19 +68,26 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", fit_ro
 
     def make() -> Callable:
         def one(batch):
-            labels, counts = [], []
+            by_label: dict[str, list[np.ndarray]] = {}
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = prepared(text)
                 if len(data) > 2:
-                    k, n = np.unique(runs_of(data), return_counts=True)
-                    labels.append(label)
-                    counts.append([{"k": int(a), "n": int(b)} for a, b in zip(k, n, strict=True)])
-            return pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(counts, pa.list_(pa.struct([("k", pa.int32()), ("n", pa.int64())])))], names=["label", "runs"])
+                    by_label.setdefault(label, []).append(runs_of(data).astype(np.int32))
+            labels, runs, counts = [], [], []
+            for label, parts in by_label.items():
+                k, n = np.unique(np.concatenate(parts), return_counts=True)
+                labels += [label] * len(k)
+                runs.append(k)
+                counts.append(n)
+            if not labels:
+                return None
+            cols = [pa.array(labels, pa.string()), pa.array(np.concatenate(runs), pa.int32()), pa.array(np.concatenate(counts), pa.int64())]
+            return pa.RecordBatch.from_arrays(cols, names=["label", "k", "n"])
 
         return one
 
-    found = arrow_map(sample, make, "label string, runs array<struct<k:int,n:long>>")
-    summed = found.select("label", F.explode("runs").alias("r")).groupBy("label", "r.k").agg(F.sum("r.n").alias("n")).collect()
+    found = arrow_map(sample, make, "label string, k int, n long")
+    summed = found.groupBy("label", "k").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r.label for r in summed})
     table = np.full((BUCKETS, len(languages) + 1), SMOOTH)
     for r in summed:

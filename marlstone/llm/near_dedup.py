@@ -36,8 +36,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
 PIVOTS = 4
 COMPONENTS = BANDS * ROWS
-REMEMBERED = 300_000
-FREQUENT = 1_000_000  # shingles whose counts go to every task: 16 MB
+REMEMBERED = 120_000
+FREQUENT = 250_000  # shingles whose counts go to every task: 4 MB
 
 # Odd multipliers; any would do.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)

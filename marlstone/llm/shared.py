@@ -15,8 +15,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that a Python worker's memory doesn't follow the length of texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema) -> DataFrame:
