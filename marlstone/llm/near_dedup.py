@@ -1,9 +1,8 @@
-"""Near-duplicates by ProbMinHash signatures of weighted five-word shingles, banding and exact verification.
+"""Near-duplicates by ProbMinHash signatures of five-word shingles, banding and exact verification.
 
-A shingle's weight is 1 + log2 of its count in the document. Each shingle has a Poisson process of that rate, whose arrivals fall on random
-components of the signature; a component keeps the shingle that arrives first. A shingle is left as soon as its arrivals come later than
-the latest of all components (early termination). Components of two documents agree with the probability Jaccard of their weighted shingles,
-which is the plain Jaccard where all weights are equal.
+Each different shingle of a document has a Poisson process, whose arrivals fall on random components of the signature; a component keeps the shingle that arrives first. A shingle is left as soon as its arrivals come later than
+the latest of all components (early termination). Components of two documents agree with the probability Jaccard of their weighted shingles.
+All shingles weigh the same, however often they occur, so that this is the Jaccard of the sets, which is what a link is defined by.
 
 Documents with the same words are one node. Nodes that agree on all ROWS components of one of BANDS bands are candidates. Groups in
 a bucket are never paired out: each member is checked against one pivot; those outside its component against PIVOTS members of it, which differ from bucket to
@@ -119,9 +118,9 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
                 nodes.append(node_of(text or "", words))
-                ids, counts = np.unique(shingles(words, hashes), return_counts=True)
+                ids = np.unique(shingles(words, hashes))
                 sizes.append(len(ids))
-                bands.append(band_hashes(signature(ids, 1.0 + np.log2(counts))) if len(ids) else None)
+                bands.append(band_hashes(signature(ids, np.ones(len(ids)))) if len(ids) else None)
             cols = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
             return pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "size", "bands"])
 

@@ -71,6 +71,19 @@ def test_chain_without_a_common_pivot(spark):
     assert got == brute_classes([(a, b) for a, b, _ in rows])
 
 
+def test_copies_that_repeat_a_line(spark):
+    """However often a copy repeats a line, the Jaccard of the sets decides."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(12):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(104))
+        line = " ".join(f"r{rng.randrange(10**6)}" for _ in range(20))
+        rows += [(2 * k, text), (2 * k + 1, f"{text} {f'{line} ' * 300}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in N.classes(df).collect()}
+    assert got == brute_classes(rows) == {k: k - k % 2 for k in range(24)}
+
+
 def test_edges(spark):
     rows = [(None, None, 1), (5, "", 1), (6, "!!", 1), (7, "One two", 1), (7, "one, TWO", 1), (9, "one two", 1), (8, "x " * 5000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, node int")
