@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from ..sources.tables import new_place
 
 
-def source(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 8) -> DataFrame:
-    """The table as a stream; NTZ times become timestamps, as watermarks ask for them."""
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream; NTZ times become timestamps, as watermarks ask for them.
+
+    All files there are come in one batch: they aren't in order of time, and a watermark between them would drop rows as late.
+    """
     place = f"{sf_dir}/{name}.parquet"
     schema = spark.read.parquet(place).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream.schema(schema)
     # a table of one file is picked from its folder, one of many is the folder itself
     single = spark.read.format("binaryFile").load(place).select("path").limit(2).collect()
     if len(single) == 1 and single[0].path.rstrip("/").endswith(f"{name}.parquet"):
