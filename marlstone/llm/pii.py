@@ -2,8 +2,9 @@
 
 The tagger (two LSTMs and a chain of tags, trained in numpy) learns from labelled windows: stretches of at most FIT_DOCS documents with the spans of
 the fixed forms as labels, and the same texts with written-out variants set in (national phone numbers, addresses with "at" in brackets) and with look-alikes that are
-none (versions, dates, sums, digests). Every kind holds a digit, an @ or a bracketed "at"; a place further than MARGIN characters
-from all of them is outside by definition, so the tagger runs over windows that cover all other places. Windows overlap by half; each character takes
+none (versions, dates, sums, digests). Every kind holds a digit, an @ or a bracketed "at". The tagger runs over windows that cover all places within MARGIN characters
+of one of them, and further the whole run of address characters on both sides of an @ or "at"; all other places are outside by definition.
+An address that the tagger finds in part is widened to its whole form. Windows overlap by half; each character takes
 its tag from the window in whose middle it is nearest, and spans are read off the joined tags of the whole text. An exact check follows: an added span must
 hold as many digits as its kind has, stand free, and not overlap a fixed one.
 
@@ -40,6 +41,8 @@ DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]|[\[(] ?at ?[\])]", re.I)
+AT = re.compile(r"@|[\[(] ?at ?[\])]", re.I)
+AFTER_AT = re.compile(r" ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -196,15 +199,29 @@ def fit(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS) -> ta
 # --- spans of a text --------------------------------------------------------------------------------------------
 
 
+def reach(text: str, m: re.Match) -> tuple[int, int]:
+    """From where to where an address around an @ or "at" can go."""
+    a = m.start() - (text[m.start() - 1 : m.start()] == " ")
+    begin = a
+    while begin and text[begin - 1] in LOCAL:
+        begin -= 1
+    after = AFTER_AT.match(text, m.end())
+    return begin if begin < a else m.start(), after.end() if after else m.end()
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches that hold all places within MARGIN characters of a trigger."""
+    """Stretches that hold all places within MARGIN characters of a trigger, and addresses that go further with a MARGIN around them."""
     out: list[tuple[int, int]] = []
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b)
-        else:
-            out.append((a, b))
+        a, b = m.start() - MARGIN, m.end() + MARGIN
+        if not "0" <= m.group() <= "9":
+            begin, end = reach(text, m)
+            a, b = begin - MARGIN if begin <= a else a, end + MARGIN if end >= b else b
+        a, b = max(0, a), min(len(text), b)
+        while out and a <= out[-1][1]:
+            before = out.pop()
+            a, b = min(a, before[0]), max(b, before[1])
+        out.append((a, b))
     return out
 
 
@@ -271,6 +288,9 @@ def added_spans(texts: list[str], fixed: list[list[tuple[int, int, int]]], weigh
                 b -= 1
             while b > a and texts[k][a] in " \n.,;:":
                 a += 1
+            if b > a and KINDS[kind] == "email" and not holds(kind, texts[k][a:b], texts[k], a, b):
+                whole = next((w for m in AT.finditer(texts[k], max(0, a - WIDTH), b + WIDTH) if (w := reach(texts[k], m))[0] < b and a < w[1]), (a, b))
+                a, b = min(a, whole[0]), max(b, whole[1])
             if b > a and holds(kind, texts[k][a:b], texts[k], a, b) and not any(a < e and s < b for s, e in taken):
                 out[k].append((kind, a, b))
                 taken.append((a, b))

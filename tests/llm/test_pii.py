@@ -86,3 +86,12 @@ def test_tagger_and_query(spark, sf_dir):
     odd = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (2, "", "y"), (None, "a@b.cd", "z")], "doc_id long, text string, spans string")
     assert sorted((r.spans, r.n_email) for r in P.scan(odd, weights).collect()) == [("", 0), ("", 0), ("", 0), ("email:0:6", 1)]
     assert P.scan(odd.limit(0), weights).count() == 0
+
+
+def test_long_addresses(spark, sf_dir):
+    weights = P.fit(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for written in ("bartholomew.featherstonehaugh (at) example.com", "jo.smith (at) mail.department.university.org", "maximiliana.von.hohenstaufen [at] informatik [dot] universitaet [dot] de"):
+        text = "word " * 50 + f"write {written} today " + "word " * 50
+        a = text.index(written)
+        assert any(lo <= a and a + len(written) <= hi for lo, hi in P.regions(text))
+        assert (0, a, a + len(written)) in P.added_spans([text], [[]], weights)[0], written
