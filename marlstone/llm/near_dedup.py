@@ -108,7 +108,7 @@ def node_of(text: str, words: list[bytes]) -> bytes:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, node, size (different shingles) and bands (null without words) of each row."""
+    """doc_id, key, node, size (different shingles) and bands (null without words) of each row."""
 
     def make() -> Callable:
         hashes = WordHashes()
@@ -121,13 +121,13 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ids = np.unique(shingles(words, hashes))
                 sizes.append(len(ids))
                 bands.append(band_hashes(signature(ids, np.ones(len(ids)))) if len(ids) else None)
-            cols = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "size", "bands"])
+            cols = [batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays(cols, names=["doc_id", "key", "node", "size", "bands"])
 
         return one
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return arrow_map(rows, make, "doc_id long, node binary, size long, bands array<long>")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), _key(id_col, text_col).alias("key"))
+    return arrow_map(rows, make, "doc_id long, key string, node binary, size long, bands array<long>")
 
 
 def shingled(docs: DataFrame) -> DataFrame:
@@ -313,21 +313,31 @@ def by_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), class_size and kept for each row of docs."""
+def _key(id_col: str, text_col: str):
+    """Stands for a row's id and text, nulls too."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("null")), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
+
+
+def _classed(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     rows = stored(signed(docs, id_col, text_col), "signed")
     nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
     edges = links(docs, nodes, id_col, text_col, similarity)
     labelled = nodes.select("node", "doc_id", "n")
     labelled = labelled.withColumn("label", F.col("node")) if edges is None else _labelled(labelled, components(edges))
-    heads = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
-    of_node = stored(labelled.select("node", "label").join(heads, "label").select("node", "class_id", "class_size"), "classes")
-    return rows.select("doc_id", "node").join(of_node, "node").select(
-        "doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
-    )
+    # the least doc_id stands for the class, nulls last; the node tells rows of one doc_id apart
+    heads = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.struct(F.isnull("doc_id"), "doc_id", "node")).alias("head"))
+    heads = heads.select("label", "class_id", "class_size", F.col("head.node").alias("head"))
+    of_node = stored(labelled.select("node", "label").join(heads, "label").select("node", "class_id", "class_size", "head"), "classes")
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("head"))
+    return rows.select("doc_id", "key", "node").join(of_node, "node").select("doc_id", "key", "class_id", "class_size", kept.alias("kept"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), class_size and kept for each row of docs."""
+    return _classed(docs, id_col, text_col, similarity).drop("key")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each class, the one of least doc_id, with all columns. Texts that stay are hardly moved."""
-    gone = stored(classes(docs, id_col, text_col, similarity).filter("not kept").select("doc_id").distinct(), "gone")
-    return bloom.without(docs, id_col, gone, "doc_id", gone.count())
+    """One document of each class, the one of least doc_id, with all columns; its rows of the same id and words stay together. Texts that stay are hardly moved."""
+    gone = stored(_classed(docs, id_col, text_col, similarity).filter("not kept").select("key").distinct(), "gone")
+    return bloom.without(docs.withColumn("_ms_row", _key(id_col, text_col)), "_ms_row", gone, "key", gone.count()).drop("_ms_row")

@@ -84,6 +84,15 @@ def test_copies_that_repeat_a_line(spark):
     assert got == brute_classes(rows) == {k: k - k % 2 for k in range(24)}
 
 
+def test_rows_of_one_id_and_of_none(spark):
+    """A row goes by its id and text together; a near copy without an id goes too."""
+    rng = random.Random(5)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+    rows = [(1, text), (2, text + " more"), (2, "a text of its own that stays"), (None, text + " again"), (None, "another one without an id")]
+    kept = N.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([rows[0], rows[2], rows[4]], key=repr)
+
+
 def test_edges(spark):
     rows = [(None, None, 1), (5, "", 1), (6, "!!", 1), (7, "One two", 1), (7, "one, TWO", 1), (9, "one two", 1), (8, "x " * 5000, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, node int")
