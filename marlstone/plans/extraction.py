@@ -76,7 +76,7 @@ def s_markup_parse(t: Tables) -> DataFrame:
 
 
 @query(
-    "E7 E8 E10 M7",
+    "E7 E10 M7",
     """WITH m AS (SELECT doc_id, try_cast(regexp_extract(text, '([0-9]+)@mail', 1) AS DOUBLE) AS v FROM documents) SELECT doc_id, v, v BETWEEN 0 AND 50 AS plausible FROM m WHERE v IS NOT NULL""",
 )
 def e_metric_scan(t: Tables) -> DataFrame:
@@ -147,7 +147,7 @@ def e_verdict_coercion(t: Tables) -> DataFrame:
 
 
 @query(
-    "E19 E40 S16",
+    "E19 S16",
     """SELECT coalesce(a.o_custkey, b.c_custkey) AS k, coalesce(a.status, b.segment) AS label, (a.status IS NOT NULL)::INT + (b.segment IS NOT NULL)::INT AS sources FROM (SELECT o_custkey, max(o_orderstatus) AS status FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1) a FULL JOIN (SELECT c_custkey, c_mktsegment AS segment FROM customer WHERE c_acctbal > 0) b ON a.o_custkey = b.c_custkey""",
 )
 def e_hybrid_merge(t: Tables) -> DataFrame:

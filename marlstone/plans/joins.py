@@ -164,7 +164,7 @@ _BOXES = "SELECT p_partkey AS id, p_size AS page, (p_partkey % 40) * 1.0 AS x0,
 
 
 @query(
-    "J15 M12 E23",
+    "J15 M12",
     f"""WITH p AS (SELECT id, page, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM ({_BOXES})), o AS (SELECT a.id AS a, b.id AS b,
         greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS both_area,
         (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS areas FROM p a JOIN p b ON a.page = b.page AND a.id < b.id)
