@@ -74,7 +74,8 @@ def addresses(text: str) -> Iterator[tuple[int, int]]:
         parts, at = m.group().split("."), m.start()
         for k in range(0, len(parts) - 3, 4):
             end = at + sum(map(len, parts[k : k + 4])) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[k : k + 4]):
+            significant = [p.lstrip("0") or "0" for p in parts[k : k + 4]]  # parts can be of any length
+            if all(len(p) <= 3 and int(p) <= 255 for p in significant):
                 yield at, end
             at = end + 1
 

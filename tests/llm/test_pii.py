@@ -95,3 +95,9 @@ def test_long_addresses(spark, sf_dir):
         a = text.index(written)
         assert any(lo <= a and a + len(written) <= hi for lo, hi in P.regions(text))
         assert (0, a, a + len(written)) in P.added_spans([text], [[]], weights)[0], written
+
+
+def test_long_digit_parts():
+    long = "0" * 5000 + "1.2.3.4 and " + "9" * 5000 + ".1.1.1 and " + "1." * 9000 + "1"
+    found = [long[a:b] for k, a, b in P.fixed_spans(long) if k == 1]
+    assert found[0] == "0" * 5000 + "1.2.3.4" and set(found[1:]) == {"1.1.1.1"}
