@@ -32,6 +32,18 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to differ from all columns of df."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
@@ -48,5 +60,6 @@ def bounded_sample(df: DataFrame, most: int) -> DataFrame:
     total = df.count()
     share = min(1.0, 4 * most / total) if total else 1.0
     bound = int(-(2**63) + share * (2**64 - 1))
-    hashed = df.withColumn("_ms_hash", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).filter(F.col("_ms_hash") <= min(bound, 2**63 - 1))
-    return hashed.dropDuplicates(["_ms_hash"]).orderBy("_ms_hash").limit(most).drop("_ms_hash")
+    (of,) = fresh(df, "_ms_hash")
+    hashed = df.withColumn(of, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).filter(F.col(of) <= min(bound, 2**63 - 1))
+    return hashed.dropDuplicates([of]).orderBy(of).limit(most).drop(of)

@@ -67,3 +67,40 @@ def test_edges(spark):
     assert judge(docs.limit(0), bench).count() == 0
     assert judge(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
     assert cut_out("A one-two, THREE four", [(1, 3)]) == "A , THREE four"
+
+
+def test_items_repeated_and_without_id(spark):
+    docs = spark.createDataFrame([(1, "a one two b"), (2, "three four"), (3, "five")], "doc_id long, text string")
+    bench = spark.createDataFrame([("i1", "one two"), ("i1", "three four"), ("i1", "one two"), (None, "five"), ("i2", "one two")], "item_id string, text string")
+    sha = lambda *x: hashlib.sha256(",".join(x).encode()).hexdigest()
+    for block in (2, 1000):
+        got = sorted((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in judge(docs, bench, block_words=block).collect())
+        assert got == [(1, 2, 2, sha("i1", "i2")), (2, 2, 1, sha("i1")), (3, 1, 0, sha(""))]
+
+
+def test_many_blocks_in_bounded_memory(spark, monkeypatch):
+    """400 blocks: the task reads one automaton at a time, and lots of texts at every size give the same rows."""
+    from marlstone.llm import decontaminate as D
+
+    rng = random.Random(4)
+    word = lambda: "w" + str(rng.randrange(5000))
+    items = [(f"i{k}", " ".join(word() for _ in range(20))) for k in range(400)]
+    texts = [" ".join([*(word() for _ in range(30)), *(items[k % 400][1].split()[:14]), *(word() for _ in range(30))]) for k in range(300)] + ["w1 " * 1_000_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    want = sorted(judge(docs, bench).collect())
+    assert sum(r.contaminated for r in want) == 300
+    blocks = list(D.blocks_of(bench, "item_id", "text", 13, 20))
+    assert len(blocks) == 400 and max(len(b.length) for b in blocks) < 60
+    for lot in (1 << 10, 1 << 30):
+        monkeypatch.setattr(D, "LOT_CHARS", lot)
+        assert sorted(judge(docs.coalesce(1), bench, block_words=200).collect()) == want
+    assert sorted(r.doc_id for r in clean(docs, bench, block_words=200).collect()) == [300]
+
+
+def test_many_short_items(spark):
+    """Thousands of items of the same word are one state; a word's step doesn't go through them."""
+    docs = spark.createDataFrame([(1, "yes " * 20_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(f"i{k}", "yes") for k in range(3000)], "item_id string, text string")
+    r = judge(docs, bench).first()
+    assert (r.n_hit, r.n_items, r.contaminated) == (20_000, 3000, True)
