@@ -1,68 +1,98 @@
-"""Bloom filters as bitmaps of bounded size, built and tested by DataFrame functions.
+"""Bloom filters as bitmaps in blocks of bounded size, built and tested by DataFrame functions.
 
-A filter of a set of keys has at most MAX_SLOTS bits whatever the set, so it may be broadcast. Rows that it rules out pass or go without
-a shuffle; only the others are joined with the set itself, so results are exact at any size, and a set too large for the filter costs more
-shuffled rows, never wrong ones.
+The number of slots follows the number of keys; the slots are cut into blocks by the key's hash, each of at most MAX_SLOTS bits, and one block is broadcast at a time. Rows that
+a filter rules out pass or go without a shuffle; only the others are joined with the set itself, so results are exact. With SLOTS_PER_KEY slots for each key and two
+probes 5 % of the other rows at most are taken for members, at every size. Rows are read once for each block; one block holds 268 million keys.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SLOTS = 1 << 27  # 16 MB of bits
-SLOTS_PER_ROW = 32
+from .shared import fresh, stored
+
+MAX_SLOTS = 1 << 31  # 256 MB of bits
+SLOTS_PER_KEY = 8
 PROBES = 2
+#: Slots for each row where slots are counted, never held as bits: one row in so many is taken for a copy by chance.
+SLOTS_PER_ROW = 1024
 
 
-def slots_for(rows: int) -> int:
-    return min(MAX_SLOTS, max(1 << 15, 1 << max(0, rows * SLOTS_PER_ROW - 1).bit_length()))
+def slots_for(keys: int) -> int:
+    return max(1 << 15, 1 << max(0, keys * SLOTS_PER_KEY - 1).bit_length())
 
 
-def slots_of(key: Column, slots: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(slots)) + 1 for seed in range(PROBES)]
+def block_of(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(blocks))
 
 
-def _bitmaps(slots: DataFrame) -> DataFrame:
-    return slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+def slots_of(key: Column, slots: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(slots)) + 1 for seed in range(PROBES)]
 
 
 def bits_set(keys: DataFrame, key: str, slots: int) -> DataFrame:
     """(bucket, bits) of all keys' slots."""
-    return _bitmaps(keys.select(F.explode(F.array(*slots_of(F.col(key), slots))).alias("slot")))
-
-
-def bits_set_twice(keys: DataFrame, key: str, slots: int) -> DataFrame:
-    """(bucket, bits) of the slots that more than one row sets; slots are counted before they are dealt out."""
-    counted = keys.select(F.explode(F.array(*slots_of(F.col(key), slots))).alias("slot")).groupBy("slot").agg(F.count("*").alias("times"))
-    return _bitmaps(counted.filter("times > 1"))
+    slot = keys.select(F.explode(F.array(*slots_of(F.col(f"`{key}`"), slots))).alias("slot"))
+    return slot.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
 
 
 def with_test(rows: DataFrame, key: Column, bits: DataFrame, slots: int, flag: str) -> DataFrame:
     """Adds flag: whether all slots of the key are set. False is certain."""
-    keep = [F.col(f"`{c}`") for c in rows.columns]
-    test = F.lit(True)
+    keep, test = [F.col(f"`{c}`") for c in rows.columns], F.lit(True)
     for k, slot in enumerate(slots_of(key, slots)):
-        side = F.broadcast(bits.select(F.col("bucket").alias(f"_ms_bucket{k}"), F.col("bits").alias(f"_ms_bits{k}")))
-        rows = rows.withColumn(f"_ms_slot{k}", slot)
-        rows = rows.join(side, F.bitmap_bucket_number(f"_ms_slot{k}") == F.col(f"_ms_bucket{k}"), "left")
-        byte = f"substring(_ms_bits{k}, cast(bitmap_bit_position(_ms_slot{k}) div 8 as int) + 1, 1)"
-        test = test & F.expr(f"coalesce(shiftright(cast(conv(hex({byte}), 16, 10) as int), cast(bitmap_bit_position(_ms_slot{k}) % 8 as int)) & 1, 0) = 1")
+        at, bucket, held = fresh(rows, "_ms_slot", "_ms_bucket", "_ms_bits")
+        rows = rows.withColumn(at, slot)
+        side = F.broadcast(bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(held)))
+        rows = rows.join(side, F.bitmap_bucket_number(at) == F.col(bucket), "left")
+        byte = f"substring(`{held}`, cast(bitmap_bit_position(`{at}`) div 8 as int) + 1, 1)"
+        test = test & F.expr(f"coalesce(shiftright(cast(conv(hex({byte}), 16, 10) as int), cast(bitmap_bit_position(`{at}`) % 8 as int)) & 1, 0) = 1")
     return rows.select(*keep, test.alias(flag))
 
 
+class Filter:
+    """A filter of the keys of a stored table; count: how many they are, or more."""
+
+    def __init__(self, keys: DataFrame, key: str, count: int, max_slots: int | None = None):
+        slots, most = slots_for(count), max_slots or MAX_SLOTS
+        self.blocks, self.slots = max(1, -(-slots // most)), min(slots, most)
+        self.bits = []
+        for b in range(self.blocks):
+            own = keys.filter(block_of(F.col(f"`{key}`"), self.blocks) == b) if self.blocks > 1 else keys
+            self.bits.append(stored(bits_set(own, key, self.slots), "bits"))
+
+    def tested(self, rows: DataFrame, key: Column, flag: str) -> DataFrame:
+        """rows with the flag; each block's rows are tested with its bits. False is certain."""
+        if self.blocks == 1:
+            return with_test(rows, key, self.bits[0], self.slots, flag)
+        parts = [with_test(rows.filter(block_of(key, self.blocks) == b), key, bits, self.slots, flag) for b, bits in enumerate(self.bits)]
+        return reduce(DataFrame.unionByName, parts)
+
+
+def counted_slot(key: Column, rows: int) -> Column:
+    """The slot of a key in the filter of pass one over so many rows."""
+    return F.pmod(F.xxhash64(key, F.lit(11)), F.lit(max(1 << 20, rows * SLOTS_PER_ROW)))
+
+
+def set_twice(rows: DataFrame, slot: str) -> DataFrame:
+    """Pass one: the slots that more than one row sets. They are counted in each task before they are dealt out by number, 8 bytes a row, and stay dealt out."""
+    return stored(rows.groupBy(slot).agg(F.count("*").alias("times")).filter("times > 1").select(slot), "repeated")
+
+
 def only(rows: DataFrame, column: str, keys: DataFrame, key: str, count: int) -> DataFrame:
-    """The rows whose column is among the keys (count of them); most others aren't shuffled."""
+    """The rows whose column is among the keys (count of them, stored); others, but for 5 % at most, aren't shuffled."""
     names = [F.col(f"`{c}`") for c in rows.columns]
-    slots = slots_for(count)
-    maybe = with_test(rows, F.col(f"`{column}`"), bits_set(keys, key, slots), slots, "_ms_maybe").filter("_ms_maybe")
-    return maybe.join(keys.select(F.col(key).alias("_ms_key")).distinct(), F.col(f"`{column}`") == F.col("_ms_key"), "left_semi").select(*names)
+    flag, of = fresh(rows, "_ms_maybe", "_ms_key")
+    maybe = Filter(keys, key, count).tested(rows, F.col(f"`{column}`"), flag).filter(F.col(flag))
+    return maybe.join(keys.select(F.col(f"`{key}`").alias(of)).distinct(), F.col(f"`{column}`") == F.col(of), "left_semi").select(*names)
 
 
 def without(rows: DataFrame, column: str, keys: DataFrame, key: str, count: int) -> DataFrame:
-    """The rows whose column isn't among the keys; most rows that stay aren't shuffled."""
+    """The rows whose column isn't among the keys; of the rows that stay, all but 5 % at most aren't shuffled."""
     names = [F.col(f"`{c}`") for c in rows.columns]
-    slots = slots_for(count)
-    tested = with_test(rows, F.col(f"`{column}`"), bits_set(keys, key, slots), slots, "_ms_maybe")
-    maybe = tested.filter("_ms_maybe").join(keys.select(F.col(key).alias("_ms_key")), F.col(f"`{column}`") == F.col("_ms_key"), "left_anti")
-    return tested.filter("not _ms_maybe").select(*names).unionByName(maybe.select(*names))
+    flag, of = fresh(rows, "_ms_maybe", "_ms_key")
+    tested = Filter(keys, key, count).tested(rows, F.col(f"`{column}`"), flag)
+    maybe = tested.filter(F.col(flag)).join(keys.select(F.col(f"`{key}`").alias(of)), F.col(f"`{column}`") == F.col(of), "left_anti")
+    return tested.filter(~F.col(flag)).select(*names).unionByName(maybe.select(*names))
