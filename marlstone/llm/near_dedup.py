@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import bloom
 from .components import components
 from .decontaminate import words_of
-from .shared import arrow_map, stored
+from .shared import arrow_map, fresh, least_of_most, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -190,6 +190,11 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _split(rows: DataFrame) -> DataFrame:
+    """The buckets whose members have several labels, as a stored table: a join with it deals out both sides anew, so that Spark can split a hot bucket."""
+    return stored(rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket"), "split")
+
+
 def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame | None:
     """nodes: node, doc_id, size, bands. Edges (u, v) whose components are the classes, or None if no two nodes share a bucket."""
     banded = nodes.filter("bands is not null").select("node", "size", F.explode("bands").alias("bucket"))
@@ -213,8 +218,7 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
     labels = components(edges)
     # buckets whose members aren't in one component yet
     apart = _labelled(members, labels)
-    split = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    apart = stored(apart.join(split, "bucket"), "apart")
+    apart = stored(apart.join(_split(apart), "bucket"), "apart")
     if apart.isEmpty():
         return edges
     first = shared.join(labels.withColumnRenamed("node", "v"), "v", "left").select("bucket", F.coalesce("label", "v").alias("first"))
@@ -222,7 +226,8 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
     outside = apart.filter("label <> first")
     # some members of the first pivot's component, others in each bucket, for those outside it
     inside = apart.filter("label = first").groupBy("bucket").agg(*[F.min_by(F.struct("node", "size"), F.xxhash64("bucket", "node", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)])
-    inside = inside.select("bucket", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("p")).select("bucket", F.col("p.node").alias("v"), F.col("p.size").alias("v_size")).distinct()
+    inside = inside.select("bucket", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("p"))
+    inside = stored(inside.select("bucket", F.col("p.node").alias("v"), F.col("p.size").alias("v_size")), "pivots")
     # and one outside for all the others
     second = stored(
         outside.groupBy("bucket").agg(F.max(F.struct("node", "size", "label")).alias("p"))
@@ -235,8 +240,7 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
     labels = components(edges)
     # what is still apart in a bucket is joined exactly
     apart = _labelled(apart.drop("label"), labels)
-    split = apart.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    apart = apart.join(split, "bucket").select("node", "size", "label").distinct()
+    apart = apart.join(_split(apart), "bucket").select("node", "size", "label").distinct()
     apart = stored(apart.join(sets, "node"), "apart")
     if apart.isEmpty():
         return edges
@@ -255,12 +259,7 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return one
 
     counts = stored(arrow_map(rows.select("shingles"), make, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 2"), "frequent")
-    least, taken = 1 << 62, 0
-    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("kinds")).collect(), key=lambda r: -r.n):
-        if taken + r.kinds > FREQUENT:
-            break
-        least, taken = r.n, taken + r.kinds
-    got = counts.filter(F.col("n") >= least).toArrow()
+    got = counts.filter(F.col("n") >= least_of_most(counts, "n", FREQUENT)).toArrow()
     s, n = got.column("shingle").to_numpy().view(np.uint64), got.column("n").to_numpy()
     order = np.argsort(s)
     return s[order], n[order]
@@ -302,7 +301,7 @@ def by_prefixes(rows: DataFrame, similarity: float) -> DataFrame:
 
     placed = arrow_map(rows.select("node", "size", "label", "shingles"), make, "shingle long, place long, node binary, size long, label binary")
     placed = stored(placed, "prefixes")
-    mixed_ones = placed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle")
+    mixed_ones = stored(placed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("shingle"), "split")
     placed = stored(placed.join(mixed_ones, "shingle"), "prefixes")
     left = placed.filter(F.col("place") <= F.col("size") - F.lit(2 * overlap) * F.col("size") + 1e-9)
     left = left.select("shingle", F.col("place").alias("i"), F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
@@ -340,4 +339,5 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One document of each class, the one of least doc_id, with all columns; its rows of the same id and words stay together. Texts that stay are hardly moved."""
     gone = stored(_classed(docs, id_col, text_col, similarity).filter("not kept").select("key").distinct(), "gone")
-    return bloom.without(docs.withColumn("_ms_row", _key(id_col, text_col)), "_ms_row", gone, "key", gone.count()).drop("_ms_row")
+    (row,) = fresh(docs, "_ms_row")
+    return bloom.without(docs.withColumn(row, _key(id_col, text_col)), row, gone, "key", gone.count()).drop(row)

@@ -63,3 +63,16 @@ def bounded_sample(df: DataFrame, most: int) -> DataFrame:
     (of,) = fresh(df, "_ms_hash")
     hashed = df.withColumn(of, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).filter(F.col(of) <= min(bound, 2**63 - 1))
     return hashed.dropDuplicates([of]).orderBy(of).limit(most).drop(of)
+
+
+def least_of_most(counts: DataFrame, n: str, most: int, which: Column | None = None) -> int:
+    """The least count such that at most so many rows (of those for which `which` holds) have it or more. Counts are taken together by
+    sixteenths of a power of two, so some thousand rows at most reach the driver."""
+    step = F.floor(F.log2(F.col(n).cast("double")) * 16)
+    kinds = F.count("*") if which is None else F.sum(which.cast("long"))
+    least, taken = 1 << 62, 0
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.min(n).alias("least"), kinds.alias("kinds")).collect(), key=lambda r: -r.step):
+        if taken + r.kinds > most:
+            break
+        least, taken = r.least, taken + r.kinds
+    return least
