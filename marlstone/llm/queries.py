@@ -45,6 +45,13 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs))
 
 
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op5's operator over web pages: markup, address suffix and host priors speak, by tables learned from documents."""
+    from .language_id import fit, of_pages
+
+    return of_pages(_read(spark, sf_dir, "pages"), fit(_read(spark, sf_dir, "documents")))
+
+
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_score import score
 
@@ -91,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op9_pii": op9_pii,
     "op10_url_filter": op10_url_filter,
     "pipeline": pipeline,
+    "pages_language_id": pages_language_id,
 }
 
 ORACLES: dict[str, str] = {

@@ -62,33 +62,3 @@ def test_trees_learn_and_match_the_fitted_model(spark, sf_dir):
         n, c = len(r.url), Counter(r.url)
         assert math.isclose(r.f_entropy, -sum(v / n * math.log2(v / n) for v in c.values()), abs_tol=1e-9)
         assert r.f_digits == sum(x.isdigit() for x in r.url) / n and r.f_depth == r.path.count("/")
-
-
-def test_languages(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    model = L.fit(docs.filter("doc_id % 2 = 0"))
-    held = docs.filter("doc_id % 2 = 1")
-    none = L.identify(held, model, declared=F.lit(None).cast("string"), host=F.lit("h")).join(held, "doc_id")
-    assert none.filter("language = lang").count() >= 0.99 * held.count()
-    odd = spark.createDataFrame(
-        [(1, None, "en", "s"), (2, "", "en", None), (3, "xq zvk jjw qqz ppk vvx wwz kkq zzx qjx", None, "s"), (4, "Привет как дела мир", "en", "s"), (5, "12 34", "en", "s"), (6, "Re.", "en", "s"), (6, "Re.", "en", "s"), (None, "The of and in the", "zz", "s")],
-        "doc_id long, text string, lang string, source string",
-    ).withColumn("_ms_text", F.lit(1)).withColumn("language", F.lit(2))
-    got = {r.doc_id: (r.language, r.kept) for r in L.identify(odd, model).collect()}
-    assert [got[k][1] for k in (1, 2, 3, 4, 5, 6, None)] == [False] * 5 + [True, True] and got[None][0] == "en"
-    kept = L.accepted(odd.drop("_ms_text"), model)
-    assert kept.columns == odd.drop("_ms_text").columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 6, 6]
-    assert L.identify(odd.limit(0), model).count() == 0
-    assert {r.language for r in L.identify(odd, L.fit(odd.limit(0))).collect()} == {"und"}
-    data = [L.prepared(r.text) for r in docs.limit(40).collect()] + [b"", b"ab"]
-    whole, runs = L.likelihoods(data, model.table)
-    for t, row, n in zip(data, whole, runs, strict=True):
-        want = model.table[L.runs_of(t)].sum(axis=0, dtype=float) if len(t) > 2 else 0
-        assert abs(row - want).max() < 0.01 and n == len(t) - 2
-
-
-def test_markup_evidence(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    text, declared, host = L.markup_evidence(pages)
-    row = pages.select(text.alias("t"), declared.alias("d"), host.alias("h"), "url").first()
-    assert "<" not in row.t and row.d in ("en", "fr", "de", "es") and row.h in row.url
