@@ -1,9 +1,11 @@
 """URL verdicts: host and path rules first, gradient-boosted trees on lexical features for the rest. DataFrame functions only.
 
-The trees learn from labelled URLs: those that a rule decides, and those whose host has a seed word for unwanted
-sites. At most FIT_ROWS labelled rows, those of least hash, are used for the fit (bounded sample of a classifier);
-the suffix statistics cover all labelled rows. The fitted trees are turned into CASE expressions, so that
-judging runs inside generated code over every row.
+The trees learn from labelled URLs. Block: those whose host has a seed word for unwanted sites. Allow: those that an allow rule decides, and
+those without a seed word that no rule decides; unwanted sites among these have the wrong label, which even weights of the classes make up for. What a block rule decides is
+no label: such rules are about places, not about how an address looks. No feature is made of labels: suffix statistics count the rows and hosts of the suffix, over all rows.
+
+At most FIT_ROWS labelled rows, for each class those of least hash, are used for the fit (bounded sample of a classifier). The fitted trees are turned into
+CASE expressions, so that judging runs inside generated code over every row.
 
 Defined cases: a null url, or one without "://", has empty host and path and gets the method's verdict; an empty table, or labels of one class
 only, give a constant model (the class seen, else allow); repeated rows are judged alike; further columns are left out.
@@ -18,16 +20,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, bounded_sample, stored
+from .shared import ascii_lower, sample_by_label, stored
 
 FIT_ROWS = 20_000
-TREES, DEPTH = 12, 4
-SUFFIX_WEIGHT = 20.0
+TREES, DEPTH = 12, 3
+LEAF = 0.05  # share of the weight that a leaf has at least, so that a few wrongly labelled hosts make no leaf of their own
 
 # Words of host labels that mark a labelled URL as unwanted.
 BLOCK_WORDS = ("ads", "adserver", "casino", "doubleclick", "malware", "phish", "porn", "spam", "track", "tracker", "warez")
 
-FEATURES = ("f_length", "f_host_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_hyphens", "f_suffix")
+FEATURES = ("f_length", "f_host_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_hyphens", "f_suffix_rows", "f_suffix_hosts")
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ def _count(text: Column, what: str) -> Column:
 
 
 def lexical(rows: DataFrame) -> DataFrame:
-    """Adds the lexical features; f_suffix is joined later."""
+    """Adds the lexical features; those of the suffix are joined later."""
     url = F.col("_ms_url")
     n = F.greatest(F.length(url), F.lit(1)).cast("double")
     entropy = F.expr(
@@ -112,35 +114,46 @@ def _tree(node, features: list[str]) -> Column:
     return F.when(test, _tree(node.leftChild(), features)).otherwise(_tree(node.rightChild(), features))
 
 
-def fit(labelled: DataFrame) -> Column:
-    """labelled has the features and y (0.0, 1.0: block). Returns the trees' margin, above 0 for block."""
-    sample = stored(bounded_sample(labelled.select(*FEATURES, "y"), FIT_ROWS), "fit").coalesce(1)
-    seen = {r.y for r in sample.select("y").distinct().collect()}
+def with_suffixes(rows: DataFrame) -> DataFrame:
+    """Adds the suffix statistics: logarithms of the rows and, about, of the hosts of the suffix. They are a table of their own, so that both sides of a join are
+    dealt out anew and Spark can split a hot suffix; while it is small it is broadcast."""
+    suffixes = stored(
+        rows.groupBy(F.col("_ms_suffix").alias("_ms_of")).agg(F.log2(F.count("*") + 1.0).alias("f_suffix_rows"), F.log2(F.approx_count_distinct("host") + 1.0).alias("f_suffix_hosts")),
+        "suffixes",
+    )
+    return rows.join(suffixes, F.col("_ms_suffix") == F.col("_ms_of")).drop("_ms_of")
+
+
+def fit(labelled: DataFrame) -> tuple[Column, object]:
+    """labelled has the features and y (0.0, 1.0: block). Returns the trees' margin, above 0 for block, and the fitted model (None if constant)."""
+    sample, seen = sample_by_label(labelled.select(*FEATURES, "y"), "y", FIT_ROWS, 2)
     if len(seen) < 2:
-        return F.lit(1.0 if seen == {1.0} else -1.0)
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    model = GBTClassifier(labelCol="y", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=11, maxBins=64).fit(vectors)
+        return F.lit(1.0 if seen == [1.0] else -1.0), None
+    sample = stored(sample, "fit").coalesce(1)
+    blocked, rows = sample.agg(F.sum("y"), F.count("*")).first()
+    even = F.when(F.col("y") == 1.0, rows / (2 * blocked)).otherwise(rows / (2 * (rows - blocked)))
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.withColumn("weight", even))
+    model = GBTClassifier(labelCol="y", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, minWeightFractionPerNode=LEAF, stepSize=0.2, seed=11, maxBins=64).fit(vectors)
     margin = F.lit(0.0)
     for tree, weight in zip(model.trees, model.treeWeights, strict=True):
         margin = margin + F.lit(float(weight)) * _tree(tree._java_obj.rootNode(), list(FEATURES))
-    return margin
+    return margin, model
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """page_id, host, path, rule, verdict and block_margin for each row of pages."""
+def prepared(pages: DataFrame, rules: tuple[Rule, ...], id_col: str, url_col: str) -> DataFrame:
+    """page_id, host, path, rule, the rule's verdict, features and label (y, null if none) of each row of pages."""
     rows = split_url(pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url")))
     rule, verdict = by_rules(rules)
     seed = F.exists(F.split("host", r"[.-]"), lambda word: word.isin(*BLOCK_WORDS))
     rows = lexical(rows).withColumn("rule", rule).withColumn("_ms_verdict", verdict)
-    rows = rows.withColumn("y", F.when(F.col("_ms_verdict") == "block", 1.0).when(F.col("_ms_verdict") == "allow", 0.0).when(seed, 1.0))
-    # share of blocked URLs by suffix, drawn to one half where few are labelled; rows aren't dealt out for the join while the statistics are small
-    suffixes = (
-        rows.filter("y is not null").groupBy("_ms_suffix")
-        .agg(((F.sum("y") + SUFFIX_WEIGHT / 2) / (F.count("y") + SUFFIX_WEIGHT)).alias("f_suffix"))
-        .withColumnRenamed("_ms_suffix", "_ms_of")
-    )
-    rows = rows.join(suffixes, F.col("_ms_suffix") == F.col("_ms_of"), "left").withColumn("f_suffix", F.coalesce("f_suffix", F.lit(0.5)))
-    margin = fit(rows.filter("y is not null"))
+    rows = rows.withColumn("y", F.when(seed, 1.0).when((F.col("host") != "") & F.coalesce(F.col("_ms_verdict") == "allow", F.lit(True)), 0.0))
+    return with_suffixes(rows)
+
+
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+    """page_id, host, path, rule, verdict and block_margin for each row of pages."""
+    rows = prepared(pages, rules, id_col, url_col)
+    margin, _ = fit(rows.filter("y is not null"))
     return rows.withColumn("block_margin", margin).select(
         "page_id", "host", "path", "rule",
         F.coalesce("_ms_verdict", F.when(F.col("block_margin") > 0, "block").otherwise("allow")).alias("verdict"),

@@ -1,11 +1,12 @@
-"""The bounded sample; URL rules and features against plain versions; language evidence."""
+"""The bounded sample; URL rules, features and trees against plain versions; hosts held out."""
 
 import math
 from collections import Counter
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from marlstone.llm import language_id as L
 from marlstone.llm import url_filter as U
 from marlstone.llm.shared import bounded_sample
 
@@ -52,13 +53,42 @@ def test_rules(spark):
     assert U.judge(rows.limit(0)).count() == 0
 
 
-def test_trees_learn_and_match_the_fitted_model(spark, sf_dir):
-    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    got = U.judge(pages).toPandas()
-    seeded = got[got.host.str.contains("spam-farm|ads-track") & got.rule.isna()]
-    assert len(got) == pages.count() and (seeded.verdict == "block").mean() > 0.8
-    rows = U.lexical(U.split_url(pages.limit(50))).collect()
+PAGES = "/root/testdata/sf0.1/pages.parquet"
+
+
+def test_features(spark):
+    rows = U.prepared(spark.read.parquet(PAGES).limit(50), U.RULES, "page_id", "url").collect()
+    suffixes = Counter(".".join(r.host.split(".")[-2:]) for r in rows)
     for r in rows:
         n, c = len(r.url), Counter(r.url)
         assert math.isclose(r.f_entropy, -sum(v / n * math.log2(v / n) for v in c.values()), abs_tol=1e-9)
         assert r.f_digits == sum(x.isdigit() for x in r.url) / n and r.f_depth == r.path.count("/")
+        assert math.isclose(r.f_suffix_rows, math.log2(1 + suffixes[".".join(r.host.split(".")[-2:])]))
+
+
+def test_case_expression_is_the_fitted_model(spark):
+    """The margin of each page against Spark's own prediction of the same trees."""
+    rows = U.prepared(spark.read.parquet(PAGES), U.RULES, "page_id", "url")
+    margin, model = U.fit(rows.filter("y is not null"))
+    vectors = VectorAssembler(inputCols=list(U.FEATURES), outputCol="features").transform(rows.withColumn("margin", margin))
+    own = model.transform(vectors).select("margin", "prediction", vector_to_array("rawPrediction")[1].alias("raw")).collect()
+    assert len(own) == spark.read.parquet(PAGES).count()
+    assert all(math.isclose(r.margin, r.raw, rel_tol=1e-9, abs_tol=1e-9) and (r.margin > 0) == (r.prediction == 1.0) for r in own)
+
+
+def test_hosts_held_out(spark):
+    """Hosts of unwanted look that no seed word marks are blocked; plain hosts are left alone, whatever their suffix; labels of rules about places don't matter."""
+    got = U.judge(spark.read.parquet(PAGES)).toPandas()
+    free = got[got.rule.isna()]
+    unseen = free[free.host.str.contains("free-bets|cheap-pills")]
+    plain = free[~free.host.str.contains("-")]
+    assert len(unseen) and (unseen.verdict == "block").mean() > 0.9
+    assert len(plain) > 500 and (plain.verdict == "block").mean() < 0.02
+    for suffix in ("example.com", "example.org"):
+        assert (plain[plain.host.str.endswith(suffix)].verdict == "block").mean() < 0.02
+
+
+def test_one_class_and_no_rows(spark):
+    rows = spark.createDataFrame([(1, "http://a.example.org/x"), (2, None)], "page_id long, url string")
+    assert {r.verdict for r in U.judge(rows).collect()} == {"allow"}
+    assert {r.verdict for r in U.judge(spark.createDataFrame([(1, "http://spam.org/x")], "page_id long, url string")).collect()} == {"block"}
