@@ -1,12 +1,14 @@
 """Personal data in whole texts: patterns of fixed form, and a character tagger that adds what they miss.
 
-The tagger (two LSTMs and a chain of tags, trained in numpy) learns from labelled windows: stretches of at most FIT_DOCS documents with the spans of
-the fixed forms as labels, and the same texts with written-out variants set in (national phone numbers, addresses with "at" in brackets) and with look-alikes that are
-none (versions, dates, sums, digests). Every kind holds a digit, an @ or a bracketed "at". The tagger runs over windows that cover all places within MARGIN characters
-of one of them, and further the whole run of address characters on both sides of an @ or "at"; all other places are outside by definition.
-An address that the tagger finds in part is widened to its whole form. Windows overlap by half; each character takes
-its tag from the window in whose middle it is nearest, and spans are read off the joined tags of the whole text. An exact check follows: an added span must
-hold as many digits as its kind has, stand free, and not overlap a fixed one.
+The tagger (two LSTMs and a chain of tags, trained in numpy) learns from labelled windows: stretches of PIECE characters of at most FIT_DOCS documents with the spans of
+the fixed forms as labels, and the same stretches with written-out variants set in (addresses with "at" and "dot" as words, national numbers, numbers with spaces or
+brackets between their parts) and with look-alikes that are none (versions, dates, sums, digests, "at" and "dot" in prose).
+
+Every kind holds a digit, an @, a bracketed "at", or a bare "at" with a dotted name after it. Overlapping windows cover all places within MARGIN characters of one of these,
+and the whole run of address characters around an @ or "at"; places further off are outside by definition, which saves the tagger most of the text. Each character takes
+its tag from the window in whose middle it is nearest, and spans are read off the joined tags of the whole text. A span is added where the probability of its kind, by the
+chain's forward and backward sums, is SURE or more on average over its characters. It is widened to the words, and an address to the whole written address, that it cuts. A last check of what
+it holds (digits, an "at") follows, and it must not overlap a fixed span.
 
 Defined cases: null text counts as empty; an empty text has no spans and the digest of the empty string; repeated rows give repeated results; overlapping spans of
 different fixed kinds all stay; an empty table gives no rows; without documents to learn from the tagger learns from bare examples; further columns are left out.
@@ -30,8 +32,9 @@ from .shared import arrow_map, bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH, MARGIN = 64, 24
-FIT_DOCS, FIT_CHARS = 400, 50_000
-EXAMPLES, STEPS, BATCH = 2400, 260, 48
+FIT_DOCS, PIECE = 400, 2000
+EXAMPLES, STEPS, BATCH = 4800, 300, 64
+SURE, LEAN = 0.6, 2.0  # LEAN: how much the log-odds of being inside are raised, as spans are checked once more and misses are not
 DECODED = 512  # windows decoded at once
 
 # The contract's patterns, in forms that read each character a bounded number of times.
@@ -40,9 +43,13 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]|[\[(] ?at ?[\])]", re.I)
-AT = re.compile(r"@|[\[(] ?at ?[\])]", re.I)
-AFTER_AT = re.compile(r" ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*", re.I)
+DOT = r"(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)"
+NAME = r"[A-Za-z0-9-]+"
+AT = re.compile(rf"@|[\[({{]\s?at\s?[\])}}]|(?<=\s)at(?=\s{NAME}{DOT}[A-Za-z])", re.I)
+TRIGGER = re.compile(rf"[0-9]|{AT.pattern}", re.I)
+AFTER_AT = re.compile(rf"\s?{NAME}(?:{DOT}{NAME})*", re.I)
+DOT_BEFORE = re.compile(r"(?:\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)$", re.I)
+NUMBERS = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -118,28 +125,44 @@ def _card(rng: random.Random) -> str:
     return rng.choice(["", "", " ", "-"]).join(number[k : k + 4] for k in range(0, 16, 4))
 
 
-def variant(rng: random.Random) -> tuple[int, str]:
-    """A kind and an example of it, fixed or written-out."""
+def _written(rng: random.Random, address: str) -> str:
+    """An address with its @ and dots in words, in one manner throughout."""
+    at, dot = rng.choice([(" (at) ", "."), (" [at] ", "."), ("[at]", "."), ("(at)", "."), (" [at] ", " [dot] "), (" (at) ", " (dot) "), (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" at ", " dot "), (" AT ", " DOT "), (" at ", ".")])
+    user, host = address.split("@")
+    return (user.replace(".", dot) if dot == " dot " or rng.random() < 0.5 else user) + at + host.replace(".", dot)
+
+
+def variant(rng: random.Random, written: bool = False) -> tuple[int, str]:
+    """A kind and an example of it: of fixed form, or else (always, if written) of a form that the patterns miss."""
     a, b = _name(rng), _name(rng)
-    host = f"{b}{rng.choice(['', str(rng.randint(1, 9))])}.{rng.choice(['example.com', 'example.org', 'co.uk', 'net', 'de'])}"
-    kind = rng.randrange(4)
+    plain = not written and rng.random() < 0.3
+    kind = rng.choices(range(4), (5, 2, 3, 4))[0]  # addresses are written in the most ways
     if kind == 0:
-        user = rng.choice([a, f"{a}.{b}", f"{a}{rng.randint(1, 99)}", f"{a}.{rng.randint(1, 99)}", f"{a}_{b}"])
-        return 0, rng.choice([f"{user}@{host}", f"{user} (at) {host}", f"{user} [at] {host}", f"{user}[at]{host}", f"{user} [at] {b} [dot] com"])
+        inner = f"{_name(rng)}{_name(rng)}." if rng.random() < 0.3 else ""
+        host = f"{inner}{b}{rng.choice(['', str(rng.randint(1, 9))])}.{rng.choice(['example.com', 'example.org', 'co.uk', 'net', 'de', 'com', 'org', 'io'])}"
+        address = f"{rng.choice([a, f'{a}.{b}', f'{a}{rng.randint(1, 99)}', f'{a}.{rng.randint(1, 99)}', f'{a}_{b}'])}@{host}"
+        return 0, address if plain else _written(rng, address)
     if kind == 1:
-        return 1, ".".join(str(rng.randint(0, 255)) for _ in range(4))
+        between = "." if plain else rng.choice(["[.]", "(.)", " . ", " dot ", "[dot]"])
+        return 1, between.join(str(rng.randint(0, 255)) for _ in range(4))
     if kind == 2:
-        return 2, _card(rng)
+        number = digits_of(_card(rng))
+        between = rng.choice(["", " ", "-"]) if plain else rng.choice([".", "  ", "/", " - ", "_"])
+        return 2, between.join(number[k : k + 4] for k in range(0, 16, 4))
     area, mid, end = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
-    return 3, rng.choice([f"+1 ({area}) {mid}-{end}", f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"+{rng.randint(20, 99)} {area} {mid} {end}", f"{area}.{mid}.{end}"])
+    land = rng.randint(20, 99)
+    if plain:
+        return 3, rng.choice([f"+1 ({area}) {mid}-{end}", f"+{land} {area} {mid} {end}", f"+{land}-{area}-{mid}{end}"])
+    return 3, rng.choice([f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"{area}.{mid}.{end}", f"00{land} {_digits(rng, 2)} {_digits(rng, 6)}", f"00{land} {area} {mid} {end}", f"0{area}/{_digits(rng, 6)}", f"0{area} {mid} {end}", f"(0{_digits(rng, 2)}) {_digits(rng, 7)}"])
 
 
 def look_alike(rng: random.Random) -> str:
     n = rng.randint
     return rng.choice([
         f"{n(1, 9)}.{n(0, 20)}.{n(0, 20)}", f"{n(1990, 2030)}-{n(10, 12)}-{n(10, 28)}", f"{n(1, 28)}/{n(1, 12)}/{n(1990, 2030)}", f"${n(1, 999)},{_digits(rng, 3)}.{_digits(rng, 2)}",
-        "".join(rng.choice("0123456789abcdef") for _ in range(40)), _digits(rng, n(1, 6)), f"@{_name(rng)}", f"{n(1, 12)}:{_digits(rng, 2)}", f"ISBN {_digits(rng, 10)}",
-        f"{n(300, 999)}.{n(300, 999)}.{n(0, 999)}.{n(300, 999)}", f"{_digits(rng, 9)}", f"#{_digits(rng, 8)}", f"page {n(1, 400)}",
+        "".join(rng.choice("0123456789abcdef") for _ in range(40)), _digits(rng, n(1, 6)), f"@{_name(rng)}", f"{n(1, 12)}:{_digits(rng, 2)}", f"ISBN {_digits(rng, 10)}", _digits(rng, n(16, 30)),
+        f"{n(300, 999)}.{n(300, 999)}.{n(0, 999)}.{n(300, 999)}", f"{_digits(rng, 9)}", f"#{_digits(rng, 8)}", f"page {n(1, 400)}", f"{n(1990, 2030)} {n(1990, 2030)} {n(1990, 2030)}", f"{n(1, 99)} {n(100, 999)} {n(100, 999)}",
+        f"{_name(rng)} at {_name(rng)} and {_name(rng)}", f"{_name(rng)} at {_name(rng)}. {_name(rng).title()}", f"{_name(rng)} dot {_name(rng)}", f"at {n(1, 12)} dot {n(10, 59)}", f"{_name(rng)} [at] {_name(rng)}",
     ])
 
 
@@ -154,7 +177,7 @@ def tags_of(spans: list[tuple[int, int, int]], n: int) -> np.ndarray:
 
 
 def examples(texts: list[str], number: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of codes and tags [number, WIDTH]."""
+    """Windows of codes and tags [number, WIDTH]: a quarter as they stand, a half with a kind set in, a quarter with a look-alike."""
     rng = random.Random(seed)
     texts = [t for t in texts if t] or ["some words that say nothing of anyone and go on for a while"]
     hot = [(t, m.start()) for t in texts for m in TRIGGER.finditer(t)]
@@ -190,10 +213,11 @@ FIRST = np.zeros(len(_tag))  # a window may begin within a span
 
 
 def fit(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS) -> tagger.Weights:
-    """Weights learned from windows of at most fit_docs documents, those of least hash that hold a digit or an @ and have at most
-    FIT_CHARS characters: the bound of what the driver gets."""
-    rows = docs.select(F.col(f"`{text_col}`").alias("text")).filter(f"length(text) <= {FIT_CHARS} and text rlike '[0-9@]'")
-    texts = sorted(r.text for r in bounded_sample(rows, fit_docs).collect())
+    """Weights learned from a stretch of at most PIECE characters of each of at most fit_docs documents, from where the text's hash says: the bound of what the driver gets."""
+    text = F.col(f"`{text_col}`")
+    begin = F.pmod(F.xxhash64(text), F.greatest(F.length(text) - PIECE, F.lit(0)) + 1).cast("int") + 1
+    pieces = docs.select(F.substring(text, begin, F.lit(PIECE)).alias("text")).filter("text rlike '[0-9@]'")
+    texts = sorted(r.text for r in bounded_sample(pieces, fit_docs).collect())
     return tagger.train(*examples(texts, EXAMPLES), len(_tag), STEPS, BATCH)
 
 
@@ -202,10 +226,19 @@ def fit(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS) -> ta
 
 def reach(text: str, m: re.Match) -> tuple[int, int]:
     """From where to where an address around an @ or "at" can go."""
-    a = m.start() - (text[m.start() - 1 : m.start()] == " ")
-    begin = a
-    while begin and text[begin - 1] in LOCAL:
-        begin -= 1
+    a = m.start() - text[max(0, m.start() - 1) : m.start()].isspace()
+    begin, k = a, a
+    while True:
+        while k and text[k - 1] in LOCAL:
+            k -= 1
+        if k == begin:
+            break
+        begin = k
+        if not (dot := DOT_BEFORE.search(text, max(0, begin - 9), begin)):
+            break
+        k = dot.start()
+        if not (k and text[k - 1] in LOCAL):
+            break
     after = AFTER_AT.match(text, m.end())
     return begin if begin < a else m.start(), after.end() if after else m.end()
 
@@ -240,59 +273,78 @@ def windows_of(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def holds(kind: int, found: str, text: str, a: int, b: int) -> bool:
-    """The exact check of an added span."""
-    if (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum()):
-        return False
+def holds(kind: int, found: str) -> bool:
+    """Whether a span has what its kind can't do without: the digits of a number, the at and dot of an address."""
     d = digits_of(found)
     if KINDS[kind] == "email":
-        return bool(re.fullmatch(r"(?i)[A-Za-z0-9._%+-]+ ?(?:@|[\[(] ?at ?[\])]) ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)+", found))
+        return bool((m := AT.search(found)) and m.start() and re.search(DOT, found[m.end() :], re.I))
     if KINDS[kind] == "ip":
-        return False  # all forms are fixed ones
+        parts = [p.lstrip("0") or "0" for p in NUMBERS.findall(found)]
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
     if KINDS[kind] == "card":
-        return 13 <= len(d) <= 19 and luhn(d) and not re.search(r"[^0-9 -]", found)
-    return 9 <= len(d) <= 15 and bool(re.fullmatch(r"\+?[0-9(][0-9 ().-]*[0-9]", found)) and bool(re.search(r"[ ().-]", found))
+        return 13 <= len(d) <= 19 and luhn(d)
+    return 9 <= len(d) <= 15
+
+
+def _whole(kind: int, text: str, a: int, b: int) -> tuple[int, int]:
+    """A span without white space and stops at its ends, widened to the words it cuts; an address to the whole written address."""
+    while b > a and text[b - 1] in " \n\t.,;:":
+        b -= 1
+    while b > a and text[a] in " \n\t.,;:":
+        a += 1
+    if a == b:
+        return a, b
+    if KINDS[kind] == "email" and (m := next((m for m in AT.finditer(text, max(0, a - WIDTH), b + WIDTH) if (w := reach(text, m))[0] < b and a < w[1]), None)):
+        a, b = reach(text, m)
+    low, high = max(0, a - WIDTH), min(len(text), b + WIDTH)
+    while a > low and text[a].isalnum() and text[a - 1].isalnum():
+        a -= 1
+    while b < high and text[b - 1].isalnum() and text[b].isalnum():
+        b += 1
+    if KINDS[kind] == "phone" and a and text[a - 1] in "(+" and text[a].isdigit():
+        a -= 1
+    return a, b
 
 
 def added_spans(texts: list[str], fixed: list[list[tuple[int, int, int]]], weights: tagger.Weights) -> list[list[tuple[int, int, int]]]:
     places = [(k, *w) for k, t in enumerate(texts) for w in windows_of(t)]
-    tags: dict[int, list[tuple[int, np.ndarray]]] = {}
+    tags: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for a in range(0, len(places), DECODED):
         part = places[a : a + DECODED]
         x = np.zeros((len(part), WIDTH), np.int64)
         for r, (k, at, _, _) in enumerate(part):
             c = tagger.codes(texts[k][at : at + WIDTH])
             x[r, : len(c)] = c
-        for (k, at, lo, hi), y in zip(part, tagger.decode(weights, x, ALLOWED, FIRST), strict=True):
-            tags.setdefault(k, []).append((lo, y[lo - at : hi - at]))
+        for (k, at, lo, hi), y, sure in zip(part, *tagger.decode(weights, x, ALLOWED, FIRST, LEAN), strict=True):
+            tags.setdefault(k, []).append((lo, y[lo - at : hi - at], sure[lo - at : hi - at]))
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for k, parts in tags.items():
-        open_span, before = None, 0
-        found: list[tuple[int, int, int]] = []
-        for lo, y in parts:
-            if open_span and lo != before:
-                found.append((*open_span, before))
-                open_span = None
-            for at, t in enumerate(y.tolist(), lo):
+        found: list[tuple[int, int, int, float]] = []
+        run: list = []  # kind, start and the probabilities of the span that is open
+        before = 0
+
+        def close(end: int, run=run, found=found) -> None:
+            if run:
+                found.append((run[0], run[1], end, sum(run[2]) / len(run[2])))
+                run.clear()
+
+        for lo, y, sure in parts:
+            if lo != before:
+                close(before)
+            for at, (t, p) in enumerate(zip(y.tolist(), sure.tolist(), strict=True), lo):
                 kind = (t - 1) // 2 if t else None
-                if open_span and (kind != open_span[0] or t % 2):
-                    found.append((*open_span, at))
-                    open_span = None
-                if t and not open_span:
-                    open_span = (kind, at)
+                if run and (kind != run[0] or t % 2):
+                    close(at)
+                if t and not run:
+                    run.extend((kind, at, []))
+                if t:
+                    run[2].append(p)
             before = lo + len(y)
-        if open_span:
-            found.append((*open_span, before))
+        close(before)
         taken = [(a, b) for _, a, b in fixed[k]]
-        for kind, a, b in found:
-            while b > a and texts[k][b - 1] in " \n.,;:":
-                b -= 1
-            while b > a and texts[k][a] in " \n.,;:":
-                a += 1
-            if b > a and KINDS[kind] == "email" and not holds(kind, texts[k][a:b], texts[k], a, b):
-                whole = next((w for m in AT.finditer(texts[k], max(0, a - WIDTH), b + WIDTH) if (w := reach(texts[k], m))[0] < b and a < w[1]), (a, b))
-                a, b = min(a, whole[0]), max(b, whole[1])
-            if b > a and holds(kind, texts[k][a:b], texts[k], a, b) and not any(a < e and s < b for s, e in taken):
+        for kind, a, b, sure in found:
+            a, b = _whole(kind, texts[k], a, b)
+            if sure >= SURE and b > a and holds(kind, texts[k][a:b]) and not any(a < e and s < b for s, e in taken):
                 out[k].append((kind, a, b))
                 taken.append((a, b))
     return out

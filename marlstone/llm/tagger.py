@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 
 HIDDEN = 20
-CHARS = 100  # 0: beyond the text, 1..95: printable ASCII, 96: other white space, 97: other letters, 98: other digits, 99: all else
+CHARS = 98  # 0: beyond the text, 1..95: printable ASCII, 96: other ASCII, 97: all else
 
 
 def codes(text: str) -> np.ndarray:
@@ -31,21 +31,21 @@ class Weights:
     arrays: list[np.ndarray]
 
     @classmethod
-    def new(cls, tags: int, rng: np.random.Generator) -> Weights:
+    def new(cls, tags: int, rng: np.random.Generator, kind=np.float64) -> Weights:
         h, out = HIDDEN, []
         for _ in range(2):
             bias = np.zeros(4 * h)
             bias[h : 2 * h] = 1.0  # forget little at first
             out += [rng.normal(0, 0.3, (CHARS, 4 * h)), rng.normal(0, 1 / np.sqrt(h), (h, 4 * h)), bias]
         out += [rng.normal(0, 0.3, (2 * h, tags)), np.zeros(tags), np.zeros((tags, tags)), np.zeros(tags)]
-        return cls(out)
+        return cls([x.astype(kind) for x in out])
 
 
 def lstm(x: np.ndarray, wx: np.ndarray, wh: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
     """x: [time, batch] of codes. Returns hidden states [time, batch, HIDDEN] and what the way back needs."""
     steps, n = x.shape
-    h = c = np.zeros((n, HIDDEN))
-    out, kept = np.empty((steps, n, HIDDEN)), []
+    h = c = np.zeros((n, HIDDEN), wx.dtype)
+    out, kept = np.empty((steps, n, HIDDEN), wx.dtype), []
     given = wx[x] + b
     for t in range(steps):
         z = given[t] + h @ wh
@@ -65,8 +65,8 @@ def lstm_back(x, wx, wh, kept, dh_all):
     """Gradients of the input table, recurrence and bias."""
     steps, n = x.shape
     dwx, dwh, db = np.zeros_like(wx), np.zeros_like(wh), np.zeros(wh.shape[1])
-    dh_next = dc = np.zeros((n, HIDDEN))
-    dz_all = np.empty((steps, n, 4 * HIDDEN))
+    dh_next = dc = np.zeros((n, HIDDEN), wx.dtype)
+    dz_all = np.empty((steps, n, 4 * HIDDEN), wx.dtype)
     for t in range(steps - 1, -1, -1):
         i, f, o, g, tc, before_c, before_h = kept[t]
         dh = dh_all[t] + dh_next
@@ -119,7 +119,7 @@ def chain_gradient(e: np.ndarray, move: np.ndarray, first: np.ndarray, y: np.nda
 def train(windows: np.ndarray, tags: np.ndarray, kinds: int, steps: int, batch: int, rate: float = 0.02, seed: int = 5) -> Weights:
     """windows, tags: [number, width]. Each step takes the next batch of an order shuffled once for each round."""
     rng = np.random.default_rng(seed)
-    w = Weights.new(kinds, rng)
+    w = Weights.new(kinds, rng, np.float32)
     mean, square = [np.zeros_like(a) for a in w.arrays], [np.zeros_like(a) for a in w.arrays]
     order: list[int] = []
     for t in range(1, steps + 1):
@@ -146,18 +146,30 @@ def train(windows: np.ndarray, tags: np.ndarray, kinds: int, steps: int, batch:
     return w
 
 
-def decode(w: Weights, windows: np.ndarray, allowed: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Best tags [number, width]; allowed[tag before, tag] and first[tag] are 0 or a large negative number."""
+def decode(w: Weights, windows: np.ndarray, allowed: np.ndarray, first: np.ndarray, lean: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """(best tags [number, width], probability of each tag's kind there given the window). allowed[tag before, tag] and first[tag] are 0 or a large negative number;
+    lean is added to the score of all tags but 0."""
     e = emissions(w, windows.T)[0]
-    move = w.arrays[8] + allowed
+    e[:, :, 1:] += lean
+    move = (w.arrays[8] + allowed).astype(e.dtype)
     steps, n, kinds = e.shape
-    score, back = w.arrays[9] + first + e[0], np.empty((steps, n, kinds), np.int64)
+    best, back = (w.arrays[9] + first + e[0]).astype(e.dtype), np.empty((steps, n, kinds), np.int8)
+    alpha, beta = np.empty_like(e), np.zeros_like(e)
+    alpha[0] = best
     for t in range(1, steps):
-        ways = score[:, :, None] + move[None]
+        ways = best[:, :, None] + move[None]
         back[t] = ways.argmax(axis=1)
-        score = e[t] + ways.max(axis=1)
+        best = e[t] + ways.max(axis=1)
+        alpha[t] = e[t] + log_sum(alpha[t - 1][:, :, None] + move[None], 1)
+    for t in range(steps - 2, -1, -1):
+        beta[t] = log_sum(move[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
     out = np.empty((steps, n), np.int64)
-    out[-1] = score.argmax(axis=1)
+    out[-1] = best.argmax(axis=1)
+    rows = np.arange(n)
     for t in range(steps - 1, 0, -1):
-        out[t - 1] = back[t][np.arange(n), out[t]]
-    return out.T
+        out[t - 1] = back[t][rows, out[t]]
+    each = np.exp(alpha + beta - log_sum(alpha[-1], 1)[None, :, None])
+    at = np.arange(steps)[:, None]
+    partner = np.where(out == 0, 0, out - 1 + 2 * (out % 2))  # the first and later tags of a kind stand side by side
+    sure = each[at, rows[None, :], out] + np.where(out == 0, 0, each[at, rows[None, :], partner])
+    return out.T, sure.T
