@@ -1,7 +1,7 @@
 """Language by Bayesian fusion of evidence: text, declared language, address suffix and host.
 
 * Text: each language, and an "und" background, has a table of smoothed log-likelihoods of three-byte runs of lower-cased text, learned from
-  at most FIT_ROWS labelled documents (for each label those of least hash, up to an even share; labels are the MOST_LANGUAGES commonest of all rows). Rows fall into FOLDS folds by
+  at most FIT_ROWS labelled documents (for each label those of least hash, about an even share; labels are the MOST_LANGUAGES commonest of all rows). Rows fall into FOLDS folds by
   their text, and a row is judged by a table learned from the other folds, so no text speaks for its own label. Runs overlap and hang together, so their sum
   counts TEMPER-fold, and at most as MOST_RUNS runs, so that long texts don't drown all other evidence.
 * Declared language (a column, or the lang attribute of markup): right with probability DECLARED, else any other.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import stored  # noqa: F401 - written to the folder that all executors share
@@ -66,19 +66,18 @@ def bounded_sample(df: DataFrame, most: int) -> DataFrame:
 
 
 def sample_by_label(df: DataFrame, label: str, most: int, most_labels: int) -> tuple[DataFrame, list[str]]:
-    """(different rows of df, for each label those of least hash up to an even share of `most`; the labels, from a count of all rows, the most_labels commonest).
+    """(different rows of df, about an even share of `most` for each label, those of least hash; the labels, from a count of all rows, the most_labels commonest).
 
-    Only rows below a bound on the hash, about four times as many as asked for, are moved."""
-    found = df.groupBy(label).agg(F.count("*").alias("n")).orderBy(F.desc("n"), label).limit(most_labels).collect()
+    Shares follow the number of different rows of a label, so the sample is bounded but for chance, and only its rows are moved."""
+    (of,) = fresh(df, "_ms_hash")
+    hashed = df.withColumn(of, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    found = hashed.groupBy(label).agg(F.count("*").alias("n"), F.approx_count_distinct(of, 0.02).alias("kinds")).orderBy(F.desc("n"), label).limit(most_labels).collect()
     quota = max(1, most // max(1, len(found)))
-    (of, at) = fresh(df, "_ms_hash", "_ms_at")
     within = F.lit(False)
     for r in found:
-        bound = int(-(2**63) + min(1.0, 4 * quota / r.n) * (2**64 - 1))
+        bound = int(-(2**63) + min(1.0, quota / (0.95 * max(1, r.kinds))) * (2**64 - 1))
         within = within | ((F.col(label) == r[label]) & (F.col(of) <= min(bound, 2**63 - 1)))
-    hashed = df.withColumn(of, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).filter(within).dropDuplicates([of])
-    ranked = hashed.withColumn(at, F.row_number().over(Window.partitionBy(label).orderBy(of)))
-    return ranked.filter(F.col(at) <= quota).drop(of, at), sorted(r[label] for r in found)
+    return hashed.filter(within).dropDuplicates([of]).drop(of), sorted(r[label] for r in found)
 
 
 def least_of_most(counts: DataFrame, n: str, most: int, which: Column | None = None) -> int:
