@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,6 +42,20 @@ def sentences(c: Column) -> Column:
     return F.split(c, r"(?<=[.!?])\s+(?=\p{Lu})")
 
 
+@F.pandas_udf(DoubleType())
+def entropy(texts: pd.Series) -> pd.Series:
+    """Shannon entropy of a text's characters in bits, by counting code points; 0 for an empty or null text. Sorting characters row by row in expressions takes some ten times as long."""
+    out = np.zeros(len(texts))
+    for k, text in enumerate(texts):
+        if text:
+            points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            few = int(points.max()) < 1 << 12
+            n = np.bincount(points) if few else np.unique(points, return_counts=True)[1]
+            n = n[n > 0]
+            out[k] = np.log2(len(points)) - (n * np.log2(n)).sum() / len(points)
+    return pd.Series(out)
+
+
 def _runs(sorted_items: Column, zero: Column, each) -> Column:
     """Fold over a sorted array as over runs of equal items; each(total, run length)."""
     start = F.struct(F.lit(None).cast("string").alias("p"), F.lit(0).alias("r"), zero.alias("t"))
@@ -52,13 +67,6 @@ def _runs(sorted_items: Column, zero: Column, each) -> Column:
     return F.aggregate(sorted_items, start, step, lambda a: each(a["t"], a["r"]))
 
 
-def entropy(c: Column) -> Column:
-    """Shannon entropy of the characters in bits; 0 for an empty text. Characters are sorted within the row, so nothing is shuffled."""
-    n = F.length(c).cast("double")
-    inside = _runs(F.array_sort(F.filter(F.split(c, ""), lambda x: x != "")), F.lit(0.0), lambda t, r: t + F.when(r > 0, r * F.log2(r.cast("double"))).otherwise(F.lit(0.0)))
-    return F.when(n > 0, F.log2(n) - inside / n).otherwise(F.lit(0.0))
-
-
 def once(value: Column, body) -> Column:
     """body(value) with value worked out once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

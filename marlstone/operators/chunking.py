@@ -53,9 +53,10 @@ def quality_gate(c: Column) -> tuple[Column, Column]:
     """
     body = F.regexp_replace(c, r"^\s+|\s+$", "")
 
-    def judged(t: Column) -> Column:
+    def judged(p: Column) -> Column:
+        t = p["t"]
         return F.struct(
-            t.alias("t"), F.length(t).alias("n"), X.entropy(t).alias("e"), X.top_gram_ratio(t).alias("r"), X.loops_on_its_start(t).alias("start"),
+            t.alias("t"), F.length(t).alias("n"), p["e"].alias("e"), X.top_gram_ratio(t).alias("r"), X.loops_on_its_start(t).alias("start"),
             t.rlike(UNREADABLE).alias("marks"), X.symbol_density(t).alias("signs"),
         )
 
@@ -67,5 +68,6 @@ def quality_gate(c: Column) -> tuple[Column, Column]:
         empty = F.struct(F.lit(0.0).alias("score"), F.array(F.lit("EMPTY")).alias("flags"))
         return F.when(q["n"] == 0, empty).otherwise(F.struct(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - loss)).alias("score"), flags.alias("flags")))
 
-    out = X.once(X.once(F.coalesce(body, F.lit("")), judged), scored)
+    whole = F.coalesce(body, F.lit(""))
+    out = X.once(X.once(F.struct(whole.alias("t"), X.entropy(whole).alias("e")), judged), scored)
     return out["score"], out["flags"]

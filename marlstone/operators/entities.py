@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+
+STRETCH = 100_000
+
 # How much each kind of evidence weighs, what a section adds, and the score from which an entity is accepted.
 EVIDENCE = {"pattern": 0.3, "context": 0.3, "embedding": 0.2, "llm": 0.2}
 SECTION_BOOST = {"abstract": 0.20, "methods": 0.25, "conclusion": 0.15, "study_area": 0.10, "data_sources": 0.10}
@@ -95,5 +99,15 @@ def coupled(rows: DataFrame, id_col: str, methods: str, pairs: list[tuple[str, s
 
 
 def numbered(rows: DataFrame, group: str, *order: str) -> DataFrame:
-    """follows: the id of the row before in the group, by the order given."""
-    return rows.withColumn("follows", F.lag("id").over(Window.partitionBy(group).orderBy(*order)))
+    """follows: the id of the row before in the group, by an order of numbers that begins with `order`.
+
+    A group is cut into stretches of STRETCH by the first of them, so that a hot group isn't sorted in one task; the first row of a stretch follows the last one of
+    the nearest stretch before it, of which each has one row.
+    """
+    placed = rows.withColumn("_stretch", F.floor(F.col(order[0]) / STRETCH))
+    inner = Window.partitionBy(group, "_stretch").orderBy(*order)
+    placed = placed.withColumn("follows", F.lag("id").over(inner)).withColumn("_first", F.row_number().over(inner) == 1)
+    last = stored(placed.groupBy(group, "_stretch").agg(F.max_by("id", F.struct(*order)).alias("_last")), "stretches")
+    last = last.withColumn("_before", F.lag("_last").over(Window.partitionBy(group).orderBy("_stretch"))).drop("_last")
+    met = placed.filter("_first").join(stored(last, "stretches"), [group, "_stretch"]).withColumn("follows", F.col("_before")).drop("_before")
+    return placed.filter("not _first").unionByName(met).drop("_stretch", "_first")

@@ -94,12 +94,12 @@ def a_two_level_domain(t: Tables) -> DataFrame:
 
 @query(
     "A13",
-    """SELECT l_partkey, count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_suppkey) AS n_suppliers, max(l_discount) AS top, round(avg(l_discount), 6) AS mean, arg_min(l_suppkey, l_orderkey * 10 + l_linenumber) AS first_supplier FROM lineitem GROUP BY 1""",
+    """SELECT l_partkey, count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_suppkey) AS n_suppliers, max(l_discount) AS top, round(avg(l_discount), 6) AS mean, first(l_suppkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS first_supplier FROM lineitem GROUP BY 1""",
 )
 def a_first_seen(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_partkey").agg(
         F.countDistinct("l_orderkey").alias("n_orders"), F.countDistinct("l_suppkey").alias("n_suppliers"), F.max("l_discount").alias("top"), F.round(F.avg("l_discount"), 6).alias("mean"),
-        F.min_by("l_suppkey", F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("first_supplier"),
+        F.min_by("l_suppkey", F.struct("l_orderkey", "l_linenumber", "l_suppkey")).alias("first_supplier"),
     )
 
 
@@ -128,9 +128,10 @@ def a_multi_label(t: Tables) -> DataFrame:
     """SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS mean, min(c_acctbal) AS low, max(c_acctbal) AS high, round(median(c_acctbal), 4) AS mid FROM customer WHERE c_acctbal > 0 GROUP BY 1""",
 )
 def a_eligible_only(t: Tables) -> DataFrame:
-    return t.customer.filter("c_acctbal > 0").groupBy("c_mktsegment").agg(
-        F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean"), F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"), F.round(F.median("c_acctbal"), 4).alias("mid")
-    )
+    rows = t.customer.filter("c_acctbal > 0")
+    sums = rows.groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.round(F.avg("c_acctbal"), 4).alias("mean"), F.min("c_acctbal").alias("low"), F.max("c_acctbal").alias("high"))
+    mid = exact_quantiles(rows, "c_mktsegment", "c_acctbal", {"mid": 0.5})
+    return sums.join(mid, "c_mktsegment", "left").withColumn("mid", F.round("mid", 4))
 
 
 @query(

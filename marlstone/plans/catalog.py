@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregation, entities, evidence, extraction, filters, graph, joins, numbers, ordering, state, text, vectors  # noqa: F401
+from . import aggregation, classes, documents, entities, evidence, extraction, facts, filters, graph, joins, numbers, ordering, state, text, vectors  # noqa: F401
 from .registry import COVERS, ORACLES, QUERIES
 
 FLAGSHIP = "m_metric_distribution"

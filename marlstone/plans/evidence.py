@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import weakref
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ class Pack:
     limitations: list[str] = field(default_factory=list)
 
 
-_packs: dict[tuple[int, str], Pack] = {}
+_packs: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()  # by session, then by key
 
 
 def key_of(question: str, state: dict) -> str:
@@ -37,9 +38,9 @@ def pack(t: Tables, question: str, state: dict | None = None) -> Pack:
     """Sections as lazy DataFrames over the papers that the state selects; a pack asked for again in a session is the same one."""
     state = {**STATE, **(state or {})}
     key = key_of(question + t.folder, state)
-    at = (id(t.spark), key)
-    if at in _packs:
-        return _packs[at]
+    held = _packs.setdefault(t.spark, {})
+    if key in held:
+        return held[key]
     papers = t.orders.withColumn("yr", F.date_format("o_orderdate", "yyyy")).filter(P.conjunction(state, COLUMNS))
     facts = t.lineitem.join(papers.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     typed = facts.join(t.part.select("p_partkey", "p_type", "p_brand"), F.col("p_partkey") == F.col("l_partkey"))
@@ -52,8 +53,8 @@ def pack(t: Tables, question: str, state: dict | None = None) -> Pack:
         "semantic": V.nearest(t.embeddings, t.embeddings.filter("vec_id = 0"), 12).select("id", "rank", F.round("similarity", 6).alias("similarity")),
     }
     limitations = ["Averages count a paper once for each of its facts.", "Similarities are those of the stored vectors; no question is encoded."]
-    _packs[at] = Pack(key, sections, limitations)
-    return _packs[at]
+    held[key] = Pack(key, sections, limitations)
+    return held[key]
 
 
 _SELECTED = "SELECT * FROM orders WHERE year(o_orderdate) BETWEEN 1990 AND 2025 AND o_orderstatus IN ('F')"
@@ -61,12 +62,17 @@ _SELECTED = "SELECT * FROM orders WHERE year(o_orderdate) BETWEEN 1990 AND 2025
 
 @query(
     "EP1 T7",
-    f"""WITH p AS ({_SELECTED}), f AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM p)) SELECT 'metrics' AS section, count(*) AS n_rows FROM (SELECT l_returnflag FROM f GROUP BY 1 HAVING count(*) >= 3) UNION ALL SELECT 'topics', least(50, count(DISTINCT p_type)) FROM f JOIN part ON p_partkey = l_partkey
-        UNION ALL SELECT 'methods', least(50, count(DISTINCT p_brand)) FROM f JOIN part ON p_partkey = l_partkey UNION ALL SELECT 'years', count(DISTINCT year(o_orderdate)) FROM p UNION ALL SELECT 'influence', least(50, count(DISTINCT o_custkey)) FROM p UNION ALL SELECT 'semantic', least(12, (SELECT count(*) - 1 FROM embeddings))""",
+    f"""WITH p AS ({_SELECTED}), f AS (SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM p)), q AS (SELECT * FROM f JOIN part ON p_partkey = l_partkey),
+        v AS (SELECT a.vec_id AS query, b.vec_id AS id, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS s FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0)
+        SELECT 'metrics' AS section, l_returnflag AS key, round(avg(l_discount), 4)::DOUBLE AS value FROM f GROUP BY 2 HAVING count(*) >= 3 UNION ALL (SELECT 'topics', p_type, count(DISTINCT l_orderkey)::DOUBLE FROM q GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 50)
+        UNION ALL (SELECT 'methods', p_brand, count(DISTINCT l_orderkey)::DOUBLE FROM q GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 50) UNION ALL SELECT 'years', strftime(o_orderdate, '%Y'), count(*)::DOUBLE FROM p GROUP BY 2
+        UNION ALL (SELECT 'influence', o_custkey::VARCHAR, count(*)::DOUBLE FROM p GROUP BY o_custkey ORDER BY 3 DESC, o_custkey LIMIT 50) UNION ALL (SELECT 'semantic', id::VARCHAR, round(s, 6) FROM v ORDER BY round(s, 9) DESC, id LIMIT 12)""",
 )
 def ep_evidence_pack(t: Tables) -> DataFrame:
+    """The contents of all sections: what each row is about and its figure."""
     out = None
     for name, df in pack(t, "what is known", {"status": ["F"]}).sections.items():
-        part = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("section"), "n_rows")
+        key, value = ("id", "similarity") if name == "semantic" else (df.columns[0], "mean" if name == "metrics" else "n")
+        part = df.select(F.lit(name).alias("section"), F.col(key).cast("string").alias("key"), F.col(value).cast("double").alias("value"))
         out = part if out is None else out.unionByName(part)
     return out

@@ -108,31 +108,6 @@ def e_disambiguate(t: Tables) -> DataFrame:
     return rows.select("doc_id", sense.alias("sense"), F.when((F.col("en") > 0) | (F.col("de") > 0), 0.65).otherwise(0.50).alias("confidence"))
 
 
-@query(
-    "E4 E5 E6 E16 E35 E36",
-    """WITH c AS (SELECT l_orderkey AS table_id, l_linenumber AS row_no, unnest(['quantity', 'discount', 'tax']) AS header, unnest([l_quantity, l_discount, l_tax]) AS v FROM lineitem), f AS (SELECT *, CASE WHEN header = 'quantity' THEN 0.80 ELSE 0.85 END::DOUBLE AS confidence FROM c WHERE NOT (header = 'tax' AND v = 0))
-       SELECT table_id, header AS metric, count(*) AS n, arg_max(v, confidence * 1000 - row_no + v / 1000000) AS best FROM f GROUP BY 1, 2""",
-)
-def e_table_facts(t: Tables) -> DataFrame:
-    facts = t.lineitem.select(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row_no"), F.col("l_quantity").alias("quantity"), F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
-    facts = facts.unpivot(["table_id", "row_no"], ["quantity", "discount", "tax"], "metric", "v").filter("not (metric = 'tax' and v = 0)")
-    confidence = F.when(F.col("metric") == "quantity", 0.80).otherwise(0.85)
-    return facts.groupBy("table_id", "metric").agg(F.count("*").alias("n"), F.max_by("v", confidence * 1000 - F.col("row_no") + F.col("v") / 1000000).alias("best"))
-
-
-@query(
-    "E25 E26 E37 E39",
-    """WITH r AS (SELECT o_orderkey, (o_totalprice > 200000)::INT * 0.08 + (o_orderstatus = 'F')::INT * 0.06 + (o_orderpriority LIKE '1%')::INT * 0.04 AS gain, (o_totalprice > 200000 AND o_orderstatus = 'P')::INT * 0.10 AS loss FROM orders)
-       SELECT o_orderkey, round(greatest(0, least(1, 0.5 + gain - loss)), 4)::DOUBLE AS confidence FROM r""",
-)
-def e_declarative_rules(t: Tables) -> DataFrame:
-    """Independent rules add to the confidence, then constraints take from it, once each (D14)."""
-    rules = [(F.col("o_totalprice") > 200000, 0.08), (F.col("o_orderstatus") == "F", 0.06), (F.col("o_orderpriority").startswith("1"), 0.04)]
-    constraints = [((F.col("o_totalprice") > 200000) & (F.col("o_orderstatus") == "P"), 0.10)]
-    fired = lambda group: sum((F.when(c, d).otherwise(F.lit(0.0)) for c, d in group), F.lit(0.0))
-    return t.orders.select("o_orderkey", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.5 + fired(rules) - fired(constraints))), 4).alias("confidence"))
-
-
 @query(
     "E27 E31",
     """WITH v AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'False' WHEN 2 THEN '1' ELSE 'maybe' END AS accepted, value / 50 AS conf FROM events) SELECT event_id, CASE WHEN lower(accepted) IN ('true', 'yes', '1') THEN true WHEN lower(accepted) IN ('false', 'no', '0') THEN false END AS accepted,
@@ -194,10 +169,10 @@ def o_alias_resolve(t: Tables) -> DataFrame:
 
 @query(
     "O7 O10",
-    """SELECT p_name, max(p_size) AS best_size, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands, arg_max(p_type, length(p_type) * 1000000 - p_partkey) AS longest FROM part GROUP BY 1""",
+    """SELECT p_name, max(p_size) AS best_size, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands, first(p_type ORDER BY length(p_type) DESC, p_partkey) AS longest FROM part GROUP BY 1""",
 )
 def o_merge_sources(t: Tables) -> DataFrame:
-    longest = F.max_by("p_type", F.length("p_type").cast("long") * 1000000 - F.col("p_partkey"))
+    longest = F.max_by("p_type", F.struct(F.length("p_type"), -F.col("p_partkey")))
     return t.part.groupBy("p_name").agg(F.max("p_size").alias("best_size"), F.array_join(F.array_sort(F.collect_set("p_brand")), ",").alias("brands"), longest.alias("longest"))
 
 

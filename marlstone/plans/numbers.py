@@ -9,8 +9,8 @@ from ..functions import numeric as N
 from .registry import Tables, query
 
 # events stand in for measured facts: the type is the metric, the value the raw number
-_METRIC = {"view": "accuracy", "click": "kappa", "purchase": "rmse", "error": "nse", "signup": "mystery"}
-_METRIC_SQL = "CASE event_type WHEN 'view' THEN 'accuracy' WHEN 'click' THEN 'kappa' WHEN 'purchase' THEN 'rmse' WHEN 'error' THEN 'nse' ELSE 'mystery' END"
+_METRIC = {"view": "overall_accuracy", "click": "kappa", "purchase": "rmse", "error": "nse", "signup": "method.scs_cn"}
+_METRIC_SQL = "CASE event_type WHEN 'view' THEN 'overall_accuracy' WHEN 'click' THEN 'kappa' WHEN 'purchase' THEN 'rmse' WHEN 'error' THEN 'nse' ELSE 'method.scs_cn' END"
 
 
 def _facts(t: Tables) -> DataFrame:
@@ -31,7 +31,7 @@ def m_parse_float(t: Tables) -> DataFrame:
     return t.events.select("event_id", N.parsed(raw).alias("v"))
 
 
-_RANGES_SQL = "(VALUES ('accuracy', 0.0, 1.0, true), ('kappa', -1.0, 1.0, true), ('rmse', 0.0, 1e300, false), ('nse', -1e300, 1.0, false)) r(metric, lo, hi, pf)"
+_RANGES_SQL = "(VALUES ('overall_accuracy', 0.0, 1.0, true), ('kappa', -1.0, 1.0, true), ('rmse', 0.0, 1e300, false), ('nse', -1e300, 1.0, false)) r(metric, lo, hi, pf)"
 
 
 @query(
@@ -42,7 +42,7 @@ _RANGES_SQL = "(VALUES ('accuracy', 0.0, 1.0, true), ('kappa', -1.0, 1.0, true),
 )
 def m_normalise(t: Tables) -> DataFrame:
     raw = F.col("raw")
-    return _facts(t).select("event_id", "metric", N.in_range(raw).alias("verdict"), N.normalised(raw).alias("normal"))
+    return _facts(t).select("event_id", "metric", N.in_range(raw).alias("verdict"), N.normalised_fact(F.col("metric"), raw).alias("normal"))
 
 
 @query(

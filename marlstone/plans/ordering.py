@@ -39,9 +39,9 @@ def w_share(t: Tables) -> DataFrame:
     return c.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
 
 
-@query("W4", "SELECT l_orderkey, arg_max(l_partkey, l_extendedprice * 100 + l_linenumber) AS dearest FROM lineitem GROUP BY 1")
+@query("W4", "SELECT l_orderkey, first(l_partkey ORDER BY l_extendedprice DESC, l_linenumber, l_partkey) AS dearest FROM lineitem GROUP BY 1")
 def w_argmax(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_orderkey").agg(F.max_by("l_partkey", F.col("l_extendedprice") * 100 + F.col("l_linenumber")).alias("dearest"))
+    return t.lineitem.groupBy("l_orderkey").agg(F.min_by("l_partkey", F.struct(-F.col("l_extendedprice"), "l_linenumber", "l_partkey")).alias("dearest"))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import registry as R
+from ..operators.quantiles import exact_quantiles
 from ..sources import tables as S
 from ..streaming import streams as ST
 from .registry import Tables, query
@@ -28,7 +29,7 @@ def _last():
     return F.struct("ts", "event_id")
 
 
-_FOLD_SQL = f"SELECT user_id, arg_max({_STATUS_SQL}, epoch_us(ts)::HUGEINT * 1000000 + event_id) AS status, count(*) AS version, max(ts) AS updated FROM events GROUP BY 1"
+_FOLD_SQL = f"SELECT user_id, arg_max({_STATUS_SQL}, row(ts, event_id)) AS status, count(*) AS version, max(ts) AS updated FROM events GROUP BY 1"
 
 
 @query("R2 R8 R1", _FOLD_SQL)
@@ -48,7 +49,7 @@ def r_compare_and_set(t: Tables) -> DataFrame:
 
 @query(
     "R3",
-    f"""WITH f AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS failures, arg_max({_STATUS_SQL}, epoch_us(ts)::HUGEINT * 1000000 + event_id) AS status FROM events GROUP BY 1) SELECT user_id, failures, CASE WHEN status = 'FAILED' AND failures % 6 < 4 THEN 'RETRY' ELSE status END AS next_status, (60 * 5 ** (failures % 6))::BIGINT AS wait_s FROM f""",
+    f"""WITH f AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS failures, arg_max({_STATUS_SQL}, row(ts, event_id)) AS status FROM events GROUP BY 1) SELECT user_id, failures, CASE WHEN status = 'FAILED' AND failures % 6 < 4 THEN 'RETRY' ELSE status END AS next_status, (60 * 5 ** (failures % 6))::BIGINT AS wait_s FROM f""",
 )
 def r_backoff(t: Tables) -> DataFrame:
     f = _log(t).groupBy("user_id").agg(F.count_if(F.col("status") == "FAILED").alias("failures"), F.max_by("status", _last()).alias("status"))
@@ -58,7 +59,7 @@ def r_backoff(t: Tables) -> DataFrame:
 
 @query(
     "R4",
-    f"""WITH f AS (SELECT user_id, arg_max({_STATUS_SQL}, epoch_us(ts)::HUGEINT * 1000000 + event_id) AS status, max(ts) FILTER (WHERE event_type = 'click') AS beat FROM events GROUP BY 1) SELECT user_id, beat FROM f WHERE status = 'PROCESSING' AND (beat IS NULL OR epoch_ms(TIMESTAMP '{_NOW}') - epoch_ms(beat) > 300000)""",
+    f"""WITH f AS (SELECT user_id, arg_max({_STATUS_SQL}, row(ts, event_id)) AS status, max(ts) FILTER (WHERE event_type = 'click') AS beat FROM events GROUP BY 1) SELECT user_id, beat FROM f WHERE status = 'PROCESSING' AND (beat IS NULL OR epoch_ms(TIMESTAMP '{_NOW}') - epoch_ms(beat) > 300000)""",
 )
 def r_stale(t: Tables) -> DataFrame:
     f = _log(t).groupBy("user_id").agg(F.max_by("status", _last()).alias("status"), F.max(F.when(F.col("event_type") == "click", F.col("ts"))).alias("beat"))
@@ -83,8 +84,9 @@ def r_reports(t: Tables) -> DataFrame:
     recent = t.events.filter(F.expr(f"ts >= timestamp_ntz'{_NOW}' - interval 30 days"))
     d = recent.groupBy(F.to_date("ts").alias("day")).agg(
         F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("failed"), F.round(F.lit(100.0) * F.count_if(F.col("event_type") == "error") / F.count("*"), 1).alias("pct"),
-        F.round(F.median("value"), 6).alias("mid"), F.round(F.percentile("value", 0.95), 6).alias("p95"),
     )
+    q = exact_quantiles(recent.select(F.to_date("ts").alias("day"), "value"), "day", "value", {"mid": 0.5, "p95": 0.95})
+    d = d.join(q, "day", "left").withColumn("mid", F.round("mid", 6)).withColumn("p95", F.round("p95", 6))
     return d.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6))
 
 

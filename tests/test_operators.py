@@ -16,7 +16,7 @@ from marlstone.operators import predicates as P
 from marlstone.operators import vectors as V
 from marlstone.sources import tables as S
 
-METRICS = [("f1", "97.2", 0.972), ("kappa", "-0.3", -0.3), ("kappa", "85", 0.85), ("nse", "-2.5", -2.5), ("nse", "1.7", None), ("r2", "87", 0.87), ("rmse", "-1", None), ("rmse", "145.2", 145.2), ("pbias", "-12.5%", -12.5), ("odd", "7,5", 7.5), ("f1", "n/a", None), ("f1", "250", None)]
+METRICS = [("f1_score", "97.2", 0.972), ("kappa", "-0.3", -0.3), ("kappa", "85", 0.85), ("nse", "-2.5", -2.5), ("nse", "1.7", None), ("r2", "87", 0.87), ("rmse", "-1", None), ("rmse", "145.2", 145.2), ("pbias", "-12.5%", -12.5), ("odd", "7,5", 7.5), ("f1_score", "n/a", None), ("f1_score", "250", None)]
 
 
 def test_metric_values(spark):
@@ -57,8 +57,8 @@ def test_text_functions(spark):
 
 
 def test_rules_take_the_first(spark):
-    rows = spark.createDataFrame([("Comparing NSE",), ("nothing",), ("basin",), (None,)], "c string").select(R.first_match(F.col("c"), R.TABLE_RULES, "table", 0.4).alias("x")).select("x.*").collect()
-    assert [r.label for r in rows] == ["metrics", "table", "stations", "table"]
+    rows = spark.createDataFrame([("Comparing NSE",), ("nothing",), ("basin",), (None,)], "c string").select(R.first_match(F.col("c"), R.TABLE_RULES, R.TABLE_DEFAULT).alias("x")).select("x.*").collect()
+    assert [r.label for r in rows] == ["metrics_table", "data_table", "station_table", "data_table"]
     kinds = spark.createDataFrame([("Sentinel-1 and Sentinel-2",), ("ERS",), ("MODIS",), (" ",), (None,), ("Odd",)], "c string").select(R.sensor_kind(F.col("c")).alias("k")).collect()
     assert [r.k for r in kinds] == ["Multi-sensor", "SAR", "Optical", None, None, "Odd"]
 
