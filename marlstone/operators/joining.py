@@ -31,14 +31,14 @@ def asof(left: DataFrame, right: DataFrame, key: str, at: str, take: str, every:
 def nearest(left: DataFrame, right: DataFrame, page: str, within: float, left_id: str, right_id: str) -> DataFrame:
     """For each left point the nearest right point of its page within a distance; both have page, x and y.
 
-    The plane is cut into squares as wide as the distance; a left point meets the nine around it only. Ties: the least right id.
+    The plane is cut into squares as wide as the distance; a left point meets the nine around it only. Distances are told to six places; ties: the least right id.
     """
     cell = lambda c: F.floor(F.col(c) / F.lit(within))
     around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i as i, j as j))))"))
     l = left.select(F.col(page).alias("page"), F.col(left_id).alias("left_id"), F.col("x").alias("lx"), F.col("y").alias("ly"), cell("x").alias("cx"), cell("y").alias("cy"), around.alias("d"))
     l = l.select("page", "left_id", "lx", "ly", (F.col("cx") + F.col("d.i")).alias("cx"), (F.col("cy") + F.col("d.j")).alias("cy"))
     r = right.select(F.col(page).alias("page"), F.col(right_id).alias("right_id"), F.col("x").alias("rx"), F.col("y").alias("ry"), cell("x").alias("cx"), cell("y").alias("cy"))
-    near = l.join(r, ["page", "cx", "cy"]).withColumn("distance", F.hypot(F.col("lx") - F.col("rx"), F.col("ly") - F.col("ry"))).filter(F.col("distance") <= within)
+    near = l.join(r, ["page", "cx", "cy"]).withColumn("distance", F.round(F.hypot(F.col("lx") - F.col("rx"), F.col("ly") - F.col("ry")), 6)).filter(F.col("distance") <= within)
     return near.groupBy("page", "left_id").agg(F.min(F.struct("distance", "right_id")).alias("m")).select("page", "left_id", "m.right_id", "m.distance")
 
 

@@ -125,6 +125,7 @@ def by_rows(rows: DataFrame) -> DataFrame:
 
 def numeric_facts(rows: DataFrame) -> DataFrame:
     """rows: table_id, row_no, cells. One fact for each plausible number, with its place, header, labels, confidence and a fact_id by table, metric, value and order."""
+    rows = stored(rows, "cells")  # read several times below
     columns = stored(by_columns(rows), "column-facts")
     others = rows.join(columns.select("table_id").distinct(), "table_id", "left_anti")
     facts = columns.unionByName(by_rows(others))

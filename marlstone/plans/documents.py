@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import aliases as A
 from ..operators import tables
 from ..sources import markdown as M
+from ..sources import tei as TEI
 from .phrases import phrase, phrase_sql, quoted
 from .registry import Tables, query
 
@@ -66,6 +67,53 @@ def e_bibliography(t: Tables) -> DataFrame:
     return M.references(M.lines(markdown_documents(t)))
 
 
+# --- TEI -----------------------------------------------------------------------------------------------------------------
+
+
+def tei_documents(t: Tables) -> DataFrame:
+    """doc_id and xml: a header with one or two authors, two sections, a figure and a table, two references; every eleventh isn't XML."""
+    k = F.col("o_orderkey").cast("string")
+    key = F.col("o_orderkey")
+    author = lambda n: f"<author><persName><surname>{n}</surname></persName></author>"
+    xml = F.concat(
+        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title> Title '), k, F.lit("</title></titleStmt><sourceDesc><biblStruct><analytic>" + author("Ash")), F.when(key % 2 == 0, author("Birch")).otherwise(""),
+        F.lit("</analytic><idno>10.5/X"), k, F.lit("</idno></biblStruct></sourceDesc></fileDesc><profileDesc><abstract><p>About it</p></abstract></profileDesc></teiHeader><text><body><div><head>"), phrase(key, TITLES, ((1, 0),)),
+        F.lit("</head><p>One.</p><p>Two.</p><formula>a=b</formula></div><div><head>End</head></div>"), F.when(key % 3 == 0, '<figure><head>Map</head></figure>').otherwise(""),
+        F.lit('<figure type="table"><head>Scores</head><table><row><cell>Site</cell><cell>KGE</cell><cell>n</cell></row><row><cell>a</cell><cell>0.'), (key % 10).cast("string"), F.lit("</cell><cell>12</cell></row><row><cell>b</cell><cell>3</cell><cell>8</cell></row></table></figure></body><back><listBibl>"),
+        F.lit("<biblStruct><analytic><title>Old work</title>" + author("Elm") + author("Fir") + '</analytic><monogr><imprint><date when="1999-05"/></imprint></monogr><idno>10.7/Y'), (key % 5).cast("string"), F.lit("</idno></biblStruct><biblStruct><monogr><title>A Book</title></monogr></biblStruct>"),
+        F.when(key % 11 == 0, "</listBibl>").otherwise("</listBibl></back></text></TEI>"),
+    )
+    return t.orders.select(key.alias("doc_id"), xml.alias("xml"))
+
+
+@query(
+    "S8",
+    f"""SELECT o_orderkey AS doc_id, 'Title ' || o_orderkey AS title, '10.5/x' || o_orderkey AS doi, CASE WHEN o_orderkey % 2 = 0 THEN 'Ash,Birch' ELSE 'Ash' END AS authors, 'About it' AS abstract, 2 AS n_sections, (o_orderkey % 3 = 0)::INT AS n_figures, 1 AS n_tables, 2 AS n_references,
+        {phrase_sql('o_orderkey', TITLES, ((1, 0),))} AS first_section, 2 AS n_paragraphs, 1 AS n_formulas FROM orders WHERE o_orderkey % 11 <> 0""",
+)
+def s_tei_documents(t: Tables) -> DataFrame:
+    """Headers of TEI documents with their first sections."""
+    trees = TEI.parsed(tei_documents(t))
+    first = TEI.sections(trees).filter("ord = 0").select("doc_id", F.col("title").alias("first_section"), F.size("paragraphs").alias("n_paragraphs"), "n_formulas")
+    return TEI.headers(trees).withColumn("authors", F.array_join("authors", ",")).join(first, "doc_id")
+
+
+@query("S8 E4", "SELECT o_orderkey || '_tbl_001' AS table_id, 1 AS row_no, 'metric.kge' AS metric, ('0.' || (o_orderkey % 10))::DOUBLE AS value FROM orders WHERE o_orderkey % 11 <> 0")
+def s_tei_facts(t: Tables) -> DataFrame:
+    """Facts from the tables of TEI documents."""
+    return tables.numeric_facts(TEI.table_cells(TEI.parsed(tei_documents(t)))).select("table_id", "row_no", "metric", "value")
+
+
+@query(
+    "S8 E38",
+    """WITH r AS (SELECT o_orderkey AS doc_id, unnest([0, 1]) AS ord FROM orders WHERE o_orderkey % 11 <> 0) SELECT doc_id, ord, CASE ord WHEN 0 THEN 'Old work' ELSE 'A Book' END AS title, CASE ord WHEN 0 THEN '1999' END AS year, CASE ord WHEN 0 THEN '10.7/y' || (doc_id % 5) END AS doi,
+       CASE ord WHEN 0 THEN 2 ELSE 0 END AS n_authors, substr(sha1(CASE ord WHEN 0 THEN 'doi:10.7/y' || (doc_id % 5) ELSE 'title:a book' END), 1, 16) AS reference_id FROM r""",
+)
+def s_tei_references(t: Tables) -> DataFrame:
+    """Bibliographies of TEI documents."""
+    return TEI.references(TEI.parsed(tei_documents(t)))
+
+
 # --- aliases ------------------------------------------------------------------------------------------------------------
 
 KINDS = ("method", "metric", "sensor")

@@ -56,7 +56,7 @@ def e_triage(t: Tables) -> DataFrame:
 
 
 @query(
-    "E32 E10 E15",
+    "E32 E10",
     """WITH h AS (SELECT doc_id, 'mail' AS metric, unnest(regexp_extract_all(text, '@mail([0-9]+)', 1)) AS raw FROM documents UNION ALL SELECT doc_id, 'percent', unnest(regexp_extract_all(text, '\\.([0-9]+)@', 1)) FROM documents), n AS (SELECT DISTINCT doc_id, raw FROM h WHERE metric = 'mail')
        SELECT DISTINCT h.doc_id, h.metric, h.raw, CASE WHEN h.metric = 'percent' THEN 0.5 ELSE 0.7 END::DOUBLE AS confidence FROM h LEFT JOIN n ON n.doc_id = h.doc_id AND n.raw = h.raw WHERE h.metric = 'mail' OR n.raw IS NULL""",
 )
@@ -65,7 +65,7 @@ def e_metric_rows(t: Tables) -> DataFrame:
 
 
 @query(
-    "E2 X15 E38",
+    "E2 X15",
     """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents) SELECT substr(sha1(doc_id::VARCHAR || ':p' || i), 1, 20) AS chunk_id, doc_id, i::INT AS place, md5(line) AS digest FROM l WHERE length(line) >= 20""",
 )
 def e_layout_chunks(t: Tables) -> DataFrame:
@@ -84,7 +84,7 @@ def e_typed_objects(t: Tables) -> DataFrame:
 
 
 @query(
-    "E11 E12",
+    "E12",
     """WITH m AS (SELECT l_orderkey, list(DISTINCT p_type) AS m FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1) SELECT l_orderkey, a, b FROM m, (VALUES ('LARGE', 'SMALL'), ('PROMO', 'ECONOMY')) v(a, b) WHERE list_contains(m, a) AND list_contains(m, b)""",
 )
 def e_coupled_methods(t: Tables) -> DataFrame:
@@ -122,9 +122,26 @@ def o_gap_clusters(t: Tables) -> DataFrame:
     return t.part.groupBy(head.alias("cluster")).agg(F.countDistinct("p_name").alias("n_terms"), F.count("*").alias("n")).filter("n_terms >= 2")
 
 
-@query("S7 S22", "SELECT 0::BIGINT AS n_changed, true AS listed")
+@query("S7", "SELECT n_name AS file, n_nationkey >= 20 AS fresh FROM nation WHERE n_nationkey >= 20 OR n_nationkey % 7 = 0")
 def s_incremental_scan(t: Tables) -> DataFrame:
-    """Against a manifest of the same state no file is changed; without one all are."""
-    place = f"{t.folder}/nation.parquet"
-    manifest = S.changed_files(t.spark, place, None)
-    return S.changed_files(t.spark, place, manifest).agg(F.count("*").alias("n_changed")).withColumn("listed", F.lit(True))
+    """Files that a manifest doesn't list, or lists with another time: one file a nation, the first twenty listed, some of them with an older time."""
+    place = S.new_place(t.spark, "inbox")
+    t.nation.select("n_nationkey", F.col("n_name").alias("file")).write.partitionBy("file").json(place)
+    pattern = f"{place}/file=*/*.json"
+    name = F.regexp_extract("path", "file=([^/]+)/", 1)
+    files = S.changed_files(t.spark, pattern, None).withColumn("file", name).join(t.nation.select("n_nationkey", F.col("n_name").alias("file")), "file")
+    aged = F.when(F.col("n_nationkey") % 7 == 0, F.col("modified") - F.expr("interval 1 day")).otherwise(F.col("modified"))
+    manifest = files.filter("n_nationkey < 20").select("path", aged.alias("modified"))
+    changed = S.changed_files(t.spark, pattern, manifest).select("path").join(files, "path")
+    return changed.select("file", (F.col("n_nationkey") >= 20).alias("fresh"))
+
+
+@query("S22", "SELECT n_name AS pending FROM nation WHERE n_regionkey NOT IN (0, 1)")
+def s_pending_inputs(t: Tables) -> DataFrame:
+    """Inputs without an output yet, by the names of files in both folders."""
+    inbox, outbox = S.new_place(t.spark, "inbox"), S.new_place(t.spark, "outbox")
+    rows = t.nation.select("n_nationkey", "n_regionkey", F.col("n_name").alias("file"))
+    rows.write.partitionBy("file").json(inbox)
+    rows.filter("n_regionkey in (0, 1)").write.partitionBy("file").parquet(outbox)
+    named = lambda place, ending: S.changed_files(t.spark, f"{place}/file=*/*.{ending}", None).select(F.regexp_extract("path", "file=([^/]+)/", 1).alias("pending"))
+    return named(inbox, "json").join(named(outbox, "parquet"), "pending", "left_anti").distinct()

@@ -51,7 +51,7 @@ _HAS = {"title": (r"(?i)<title>", 0.15), "nav": (r"(?i)<nav", 0.10), "paragraph"
 
 
 @query(
-    "E18 E20 E28 C6",
+    "E18 E20",
     "WITH s AS (SELECT page_id, round(" + " + ".join(f"CASE WHEN regexp_matches(html, '{p}') THEN {w} ELSE 0 END" for p, w in _HAS.values()) + ", 3)::DOUBLE AS score FROM pages) SELECT page_id, score, CASE WHEN score < 0.4 THEN 'augment' WHEN score < 0.8 THEN 'review' ELSE 'use' END AS route FROM s",
 )
 def e_doc_score(t: Tables) -> DataFrame:
@@ -61,7 +61,7 @@ def e_doc_score(t: Tables) -> DataFrame:
 
 
 @query(
-    "S8 S9 E38",
+    "F8",
     """SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, regexp_extract(html, '(?i)<html[^>]*lang="([a-z]+)"', 1) AS lang, len(regexp_extract_all(html, '(?i)<a [^>]*href='))::BIGINT AS n_links,
        len(regexp_extract_all(html, '(?i)<p[ >]'))::BIGINT AS n_paragraphs, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))) AS body FROM pages""",
 )
@@ -76,7 +76,7 @@ def s_markup_parse(t: Tables) -> DataFrame:
 
 
 @query(
-    "E7 E10 M7",
+    "M7",
     """WITH m AS (SELECT doc_id, try_cast(regexp_extract(text, '([0-9]+)@mail', 1) AS DOUBLE) AS v FROM documents) SELECT doc_id, v, v BETWEEN 0 AND 50 AS plausible FROM m WHERE v IS NOT NULL""",
 )
 def e_metric_scan(t: Tables) -> DataFrame:
@@ -85,7 +85,7 @@ def e_metric_scan(t: Tables) -> DataFrame:
 
 
 @query(
-    "E9 E33 J20 O5",
+    "J20",
     """WITH k AS (SELECT * FROM (VALUES ('the', 'en'), ('der', 'de'), ('que', 'es'), ('les', 'fr')) v(word, sense)), h AS (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents)
        SELECT doc_id, sense, min(i)::INT AS first_at, count(*) AS n FROM h JOIN k ON lower(w) = word GROUP BY 1, 2""",
 )
@@ -97,7 +97,7 @@ def e_gazetteer(t: Tables) -> DataFrame:
 
 
 @query(
-    "E14 O6",
+    "O6",
     """WITH h AS (SELECT doc_id, text, (contains(text, ' the '))::INT + (contains(text, ' and '))::INT - (contains(text, ' der '))::INT AS en, (contains(text, ' der '))::INT + (contains(text, ' und '))::INT - (contains(text, ' the '))::INT AS de FROM documents)
        SELECT doc_id, CASE WHEN en > 0 AND en >= de THEN 'en' WHEN de > 0 THEN 'de' ELSE 'default' END AS sense, CASE WHEN en > 0 OR de > 0 THEN 0.65 ELSE 0.50 END::DOUBLE AS confidence FROM h""",
 )
@@ -109,7 +109,7 @@ def e_disambiguate(t: Tables) -> DataFrame:
 
 
 @query(
-    "E27 E31",
+    "E27",
     """WITH v AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'False' WHEN 2 THEN '1' ELSE 'maybe' END AS accepted, value / 50 AS conf FROM events) SELECT event_id, CASE WHEN lower(accepted) IN ('true', 'yes', '1') THEN true WHEN lower(accepted) IN ('false', 'no', '0') THEN false END AS accepted,
        round(CASE WHEN conf BETWEEN 0 AND 1 THEN conf ELSE 0 END, 6) AS confidence FROM v""",
 )
@@ -134,7 +134,7 @@ def e_hybrid_merge(t: Tables) -> DataFrame:
 
 
 @query(
-    "E42 EP1",
+    "E42",
     """SELECT o_orderkey, o_orderstatus, coalesce(n_lines, 0) AS n_lines, coalesce(flags, '') AS flags, coalesce(has_return, false) AS has_return FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, string_agg(DISTINCT l_returnflag, '' ORDER BY l_returnflag) AS flags, bool_or(l_returnflag = 'R') AS has_return FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 )
 def e_summary(t: Tables) -> DataFrame:
@@ -144,7 +144,7 @@ def e_summary(t: Tables) -> DataFrame:
 
 
 @query(
-    "O1 O2 O3 O4 O12",
+    "O3",
     """WITH alias AS (SELECT DISTINCT p_name AS name, lower(replace(p_name, ' ', '_')) AS slug FROM part), q AS (SELECT p_partkey, lower(replace(CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' model' ELSE 'new ' || p_name || ' data' END, ' ', '_')) AS s, p_name FROM part)
        SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'exact' WHEN 1 THEN 'stripped' ELSE 'phrase' END AS how, lower(replace(p_name, ' ', '_')) AS slug FROM q""",
 )
@@ -168,7 +168,7 @@ def o_alias_resolve(t: Tables) -> DataFrame:
 
 
 @query(
-    "O7 O10",
+    "O7",
     """SELECT p_name, max(p_size) AS best_size, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS brands, first(p_type ORDER BY length(p_type) DESC, p_partkey) AS longest FROM part GROUP BY 1""",
 )
 def o_merge_sources(t: Tables) -> DataFrame:
@@ -177,7 +177,7 @@ def o_merge_sources(t: Tables) -> DataFrame:
 
 
 @query(
-    "O8 O9 O15",
+    "O8 O9",
     """SELECT 'shared_alias' AS rule, p_name AS subject, count(DISTINCT p_type) AS n FROM part GROUP BY p_name HAVING count(DISTINCT p_type) > 1 UNION ALL SELECT 'orphan', l_partkey::VARCHAR, count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) GROUP BY 2
        UNION ALL SELECT 'no_orders', c_custkey::VARCHAR, 1 FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""",
 )
@@ -203,7 +203,7 @@ def v_validate_columns(t: Tables) -> DataFrame:
 
 
 @query(
-    "A21 E30 E29",
+    "A21",
     """WITH p AS (SELECT doc_id, CASE WHEN n_chars >= 200 AND lang IN ('en', 'fr', 'de', 'es') THEN 1 ELSE 0 END AS pred FROM documents) SELECT count(*) AS n, round(avg((pred = quality)::INT), 6) AS accuracy, count(*) FILTER (WHERE pred = 1 AND quality = 1) AS tp, count(*) FILTER (WHERE pred = 1 AND quality = 0) AS fp, count(*) FILTER (WHERE pred = 0 AND quality = 1) AS fn FROM labels JOIN p USING (doc_id)""",
 )
 def e_eval_quality(t: Tables) -> DataFrame:

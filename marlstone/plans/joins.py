@@ -152,12 +152,12 @@ def _points(t: Tables) -> DataFrame:
     f"""WITH p AS ({_POINTS}), n AS (SELECT a.page, a.id AS left_id, b.id AS right_id, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d,
         row_number() OVER (PARTITION BY a.page, a.id ORDER BY round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 6), b.id) AS rn
         FROM p a JOIN p b ON a.page = b.page AND a.l_returnflag = 'A' AND b.l_returnflag = 'R' AND abs(a.x - b.x) <= 40 AND abs(a.y - b.y) <= 40
-        WHERE round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 6) <= 40) SELECT page, left_id, round(d, 6) AS distance FROM n WHERE rn = 1""",
+        WHERE round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 6) <= 40) SELECT page, left_id, right_id, round(d, 6) AS distance FROM n WHERE rn = 1""",
 )
 def j_nearest(t: Tables) -> DataFrame:
     p = _points(t)
     near = J.nearest(p.filter("l_returnflag = 'A'"), p.filter("l_returnflag = 'R'"), "page", 40.0, "id", "id")
-    return near.select("page", "left_id", F.round("distance", 6).alias("distance"))
+    return near.select("page", "left_id", "right_id", F.round("distance", 6).alias("distance"))
 
 
 _BOXES = "SELECT p_partkey AS id, p_size AS page, (p_partkey % 40) * 1.0 AS x0, (p_partkey % 23) * 1.0 AS y0, (p_partkey % 40) + 10.0 AS x1, (p_partkey % 23) + 8.0 AS y1 FROM part"
@@ -188,7 +188,7 @@ def j_overlap_pairs(t: Tables) -> DataFrame:
     "J16",
     f"""WITH p AS ({_POINTS}), s AS (SELECT a.id AS caption, b.id AS object, abs(a.y - b.y) + 0.5 * abs(a.x - b.x) AS cost, CASE WHEN a.id % 4 = 0 THEN 45.0 ELSE 30.0 END AS most
         FROM p a JOIN p b ON a.page = b.page AND a.l_returnflag = 'A' AND b.l_returnflag = 'N')
-        SELECT caption, round(min(cost), 6) AS cost, round(min(cost), 6) = round(min(cost), 6) AS found FROM s WHERE round(cost, 6) <= most GROUP BY caption""",
+        SELECT caption, first(object ORDER BY round(cost, 6), object) AS object, round(min(cost), 6) AS cost FROM s WHERE round(cost, 6) <= most GROUP BY caption""",
 )
 def j_caption_attach(t: Tables) -> DataFrame:
     p = _points(t)
@@ -199,7 +199,7 @@ def j_caption_attach(t: Tables) -> DataFrame:
     b = p.filter("l_returnflag = 'N'").select("page", F.col("id").alias("object"), F.col("x").alias("bx"), F.col("y").alias("by"), slice_of.alias("s"))
     cost = F.round(F.abs(F.col("ay") - F.col("by")) + 0.5 * F.abs(F.col("ax") - F.col("bx")), 6)
     met = a.join(b, ["page", "s"]).withColumn("cost", cost).filter("cost <= most")
-    return met.groupBy("caption").agg(F.min("cost").alias("cost")).withColumn("found", F.lit(True))
+    return met.groupBy("caption").agg(F.min(F.struct("cost", "object")).alias("m")).select("caption", "m.object", "m.cost")
 
 
 @query("J17", "SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")

@@ -115,7 +115,7 @@ def u_union(t: Tables) -> DataFrame:
 
 
 @query(
-    "U2 S16 E22",
+    "U2 S16",
     """WITH u AS (SELECT o_custkey AS k, o_orderkey AS v, 1 AS src FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT c_custkey, -c_custkey, 2 FROM customer) SELECT k, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY src, v) AS rn FROM u) WHERE rn = 1""",
 )
 def u_dedup_first(t: Tables) -> DataFrame:
@@ -140,7 +140,7 @@ def u_intersect(t: Tables) -> DataFrame:
     return of("F").intersect(of("O"))
 
 
-@query("U4 S22 O14", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
+@query("U4", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
 def u_except(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").alias("k")).exceptAll(t.lineitem.filter("l_returnflag = 'R'").select("l_partkey").distinct())
 
