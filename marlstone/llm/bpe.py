@@ -59,16 +59,15 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         # a stretch that begins with a line break has no space of its own in front
         rest = [x if x[:1] == "\n" else " " + x for x in rest]
-        if text[:1] == "\n":
-            first, rest = "", rest
         return self.words[first] + b"".join(map(self.words.__getitem__, rest))
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(ranks: str) -> Encoder:
-    """One encoder for each worker process and vocabulary."""
+def encoder(ranks: str | None) -> Encoder:
+    """One encoder for each worker process and vocabulary; without one named, the usual one, looked for where the worker runs."""
+    ranks = ranks or vocabulary()
     if ranks not in _encoders:
         _encoders[ranks] = Encoder(ranks)
     return _encoders[ranks]

@@ -22,7 +22,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
@@ -179,11 +179,13 @@ def _in_range(similarity: float):
     return F.least("u_size", "v_size") >= F.lit(similarity) * F.greatest("u_size", "v_size") - 1e-9
 
 
-def _against_pivots(members: DataFrame, pivots: DataFrame, similarity: float) -> DataFrame:
-    """members: bucket, node, size; pivots: bucket, v, v_size, one for each bucket. Pairs in order, once each."""
-    pairs = members.select("bucket", F.col("node").alias("u"), F.col("size").alias("u_size")).join(pivots, "bucket")
-    pairs = pairs.filter((F.col("u") != F.col("v")) & _in_range(similarity))
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def _against_pivots(members: DataFrame, pivots: DataFrame, similarity: float, also: Column | None = None) -> DataFrame:
+    """members: bucket, node, size; pivots: bucket, v, v_size, a few for each bucket. Pairs in order, once each, for which `also` holds.
+
+    One join of stored tables by bucket: Spark can split a hot one, as nothing else in the stage needs its rows together."""
+    met = members.withColumnsRenamed({"node": "u", "size": "u_size"}).join(pivots, "bucket")
+    met = met.filter((F.col("u") != F.col("v")) & _in_range(similarity) & (F.lit(True) if also is None else also))
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -233,8 +235,8 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, similar
         outside.groupBy("bucket").agg(F.max(F.struct("node", "size", "label")).alias("p"))
         .select("bucket", F.col("p.node").alias("v"), F.col("p.size").alias("v_size"), F.col("p.label").alias("second")), "pivots",
     )
-    others = apart.join(second.select("bucket", "second"), "bucket").filter("label <> second").select("bucket", "node", "size")
-    pairs = _against_pivots(outside, inside, similarity).union(_against_pivots(others, second.drop("second"), similarity)).distinct()
+    others = _against_pivots(apart, second, similarity, F.col("label") != F.col("second"))
+    pairs = _against_pivots(outside, inside, similarity).union(others).distinct()
     edges = stored(edges.union(verified(pairs, sets, similarity)), "links")
     apart = apart.drop("first")
     labels = components(edges)

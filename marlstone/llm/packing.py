@@ -71,7 +71,7 @@ def _ids_from_partition():
     return TaskContext.get().partitionId() << 40
 
 
-def pieces(docs: DataFrame, ranks: str, id_col: str, text_col: str, width: int) -> DataFrame:
+def pieces(docs: DataFrame, ranks: str | None, id_col: str, text_col: str, width: int) -> DataFrame:
     def run(batches):
         encoder, next_bin, held = bpe.encoder(ranks), _ids_from_partition(), []
 
@@ -133,7 +133,7 @@ def merge_round(items: DataFrame, width: int, level: int) -> DataFrame:
 
 def pack(docs: DataFrame, ranks: str | None = None, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, slack: int = SLACK) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    local = stored(pieces(docs, ranks or bpe.vocabulary(), id_col, text_col, width), "pieces")
+    local = stored(pieces(docs, ranks, id_col, text_col, width), "pieces")
     under = local.filter((F.col("pos") == 0) & (F.col("fill") < width - slack)).select("bin", "fill")
     left, level, moves = under.count(), 0, None
     nodes = math.ceil(left / LEAF_BINS)

@@ -74,12 +74,11 @@ def count(docs: DataFrame, ranks: str | None = None, id_col: str = "doc_id", tex
     """One row per section: doc_id, section, char_begin, char_end, n_tokens, n_crossing, doc_tokens."""
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    place = ranks or bpe.vocabulary()
     given = sections is not None
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *([sections.alias("sections")] if given else []))
 
     def make() -> Callable:
-        encoder = bpe.encoder(place)
+        encoder = bpe.encoder(ranks)
         lengths = np.array(encoder.byte_length, np.int64)
 
         def one(batch):
