@@ -31,12 +31,17 @@ def reached(edges: DataFrame, start: DataFrame, hops: int, both: bool = False) -
     return seen.filter("hops > 0")
 
 
-def merged(boxes: DataFrame, group: str, least: float = 0.0):
-    """Transitive merge of boxes that touch within a group: components over touching pairs, in a stored table for each round."""
-    a = boxes.select(group, F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("x0", "y0", "x1", "y1")])
-    b = boxes.select(group, F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")])
+def merged(boxes: DataFrame, group: str, least: float = 0.0, cell: float = 64.0):
+    """Transitive merge of boxes that touch within a group: components over touching pairs, in a stored table for each round.
+
+    Boxes are dealt out by the grid cells they reach, so that only those near each other meet, not all of a group."""
+    reach = lambda lo, hi: f"sequence(int(floor(({lo} - {least}) / {cell})), int(floor(({hi} + {least}) / {cell})))"
+    across = F.expr(f"explode(flatten(transform({reach('x0', 'x1')}, i -> transform({reach('y0', 'y1')}, j -> struct(i as i, j as j)))))")
+    cells = boxes.withColumn("_cell", across)
+    a = cells.select(group, "_cell", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("x0", "y0", "x1", "y1")])
+    b = cells.select(group, "_cell", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")])
     touch = (F.col("a_x0") <= F.col("b_x1") + least) & (F.col("b_x0") <= F.col("a_x1") + least) & (F.col("a_y0") <= F.col("b_y1") + least) & (F.col("b_y0") <= F.col("a_y1") + least)
-    pairs = stored(a.join(b, group).filter((F.col("a") != F.col("b")) & touch).select("a", "b"), "touching")
+    pairs = stored(a.join(b, [group, "_cell"]).filter((F.col("a") != F.col("b")) & touch).select("a", "b").distinct(), "touching")
     labels = boxes.select(F.col("id").alias("node"), F.col("id").alias("label"))
     while True:
         near = pairs.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))

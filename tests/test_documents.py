@@ -127,3 +127,21 @@ def test_graph_and_registry_edges(spark):
     assert registry.register_counts(empty, empty, "k").first() == (0, 0, 0)
     merged = S.merged_graph(spark.createDataFrame([(1, 2, 0.5)], "a int, b int, c double"), spark.createDataFrame([(1, 2, 0.4), (1, 3, 0.1)], "a int, b int, c double"), ["a", "b"], F.col("c"))
     assert sorted(tuple(r) for r in merged.collect()) == [(1, 2, 0.5), (1, 3, 0.1)]
+
+
+def test_merged_boxes_by_brute_force(spark):
+    import random
+
+    from marlstone.operators.graphs import merged
+
+    rng = random.Random(3)
+    boxes = [(i, i % 3, x := rng.uniform(-300, 300), y := rng.uniform(-300, 300), x + rng.uniform(0, 90), y + rng.uniform(0, 90)) for i in range(120)]
+    label = {b[0]: b[0] for b in boxes}
+    for _ in boxes:
+        for a in boxes:
+            for b in boxes:
+                if a[1] == b[1] and a[2] <= b[4] + 2 and b[2] <= a[4] + 2 and a[3] <= b[5] + 2 and b[3] <= a[5] + 2:
+                    label[a[0]] = label[b[0]] = min(label[a[0]], label[b[0]])
+    df = spark.createDataFrame(boxes, "id int, page int, x0 double, y0 double, x1 double, y1 double")
+    assert {r.node: r.label for r in merged(df, "page", 2.0).collect()} == label
+    assert len(set(label.values())) < 110
