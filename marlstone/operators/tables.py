@@ -114,7 +114,7 @@ def by_columns(rows: DataFrame) -> DataFrame:
 def by_rows(rows: DataFrame) -> DataFrame:
     """Facts of rows that hold a metric's name and numbers to its right; the same columns as by_columns."""
     named = F.transform("cells", lambda c, i: F.struct(i.alias("place"), F.trim(c).alias("label"), F.when(c.rlike("[A-Za-z]"), metric_of(c)).alias("m")))  # all rules ask for letters
-    first = rows.select("table_id", "row_no", "cells", F.try_element_at(F.filter(named, lambda x: x["m"].isNotNull()), F.lit(1)).alias("x")).filter("x is not null")
+    first = rows.select("table_id", "row_no", "cells", F.explode(F.slice(F.filter(named, lambda x: x["m"].isNotNull()), 1, 1)).alias("x"))  # the rules are tried once for each cell
     cells = first.select("table_id", "row_no", "x", F.posexplode("cells").alias("place", "cell")).filter("place > x.place")
     facts = cells.select(
         "table_id", "row_no", "place", F.col("x.m.metric").alias("metric"), _unit(F.col("x.label"), F.col("x.m.unit")).alias("unit"), parsed(F.col("cell")).alias("value"), F.trim("cell").alias("raw"),
