@@ -1,6 +1,7 @@
 """Bloom filters as bitmaps in blocks of bounded size, built and tested by DataFrame functions.
 
-The number of slots follows the number of keys; the slots are cut into blocks by the key's hash, each of at most MAX_SLOTS bits, and one block is broadcast at a time. Rows that
+The number of slots follows the number of keys; the slots are cut into blocks by the key's hash, each of at most MAX_SLOTS bits. Of several blocks one is broadcast at a time: the rows tested by it
+are a stored table before the next one's turn comes, so that neither the driver nor an executor holds more than one block's bits (once for each probe). Rows that
 a filter rules out pass or go without a shuffle; only the others are joined with the set itself, so results are exact. With SLOTS_PER_KEY slots for each key and two
 probes 5 % of the other rows at most are taken for members, at every size. Rows are read once for each block; one block holds 268 million keys.
 """
@@ -64,10 +65,10 @@ class Filter:
             self.bits.append(stored(bits_set(own, key, self.slots), "bits"))
 
     def tested(self, rows: DataFrame, key: Column, flag: str) -> DataFrame:
-        """rows with the flag; each block's rows are tested with its bits. False is certain."""
+        """rows with the flag; each block's rows are tested with its bits, and stored where there are several blocks. False is certain."""
         if self.blocks == 1:
             return with_test(rows, key, self.bits[0], self.slots, flag)
-        parts = [with_test(rows.filter(block_of(key, self.blocks) == b), key, bits, self.slots, flag) for b, bits in enumerate(self.bits)]
+        parts = [stored(with_test(rows.filter(block_of(key, self.blocks) == b), key, bits, self.slots, flag), "tested") for b, bits in enumerate(self.bits)]
         return reduce(DataFrame.unionByName, parts)
 
 
