@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import entities as E
+from ..operators.density import stable_clusters
+from ..operators.near_strings import near_pairs
 from ..sources import tables as S
 from .registry import Tables, query
 
@@ -116,12 +118,24 @@ def e_river_scores(t: Tables) -> DataFrame:
     "O13",
     """SELECT lower(split_part(p_name, ' ', 2)) AS cluster, count(DISTINCT p_name) AS n_terms, count(*) AS n FROM part GROUP BY 1 HAVING count(DISTINCT p_name) >= 2""",
 )
-def o_gap_clusters(t: Tables) -> DataFrame:
+def o_gap_heads(t: Tables) -> DataFrame:
     """Unmatched terms gathered by their head word, two different ones or more."""
     head = F.lower(F.split_part("p_name", F.lit(" "), F.lit(2)))
     return t.part.groupBy(head.alias("cluster")).agg(F.countDistinct("p_name").alias("n_terms"), F.count("*").alias("n")).filter("n_terms >= 2")
 
 
+@query("O13")
+def o_gap_clusters(t: Tables) -> DataFrame:
+    """Unmatched terms clustered by density, over all pairs of terms alike to 0.7 by edits: each term's cluster (its first term), how many it has, and the noise."""
+    terms = t.part.select(F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("term")).distinct()
+    near = near_pairs(terms, "term", 8, 0.3)
+    edges = near.select(F.xxhash64("a").alias("u"), F.xxhash64("b").alias("v"), "distance")
+    found = stable_clusters(terms.select(F.xxhash64("term").alias("node")), edges, 2, 9)
+    rows = terms.join(found, F.xxhash64("term") == F.col("node")).select("term", "cluster")
+    per = rows.filter("cluster is not null").groupBy("cluster").agg(F.min("term").alias("label"), F.count("*").alias("size"))
+    return rows.join(per, "cluster", "left").select("term", F.coalesce("label", F.lit("noise")).alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
+
+
 @query("S7", "SELECT n_name AS file, n_nationkey >= 20 AS fresh FROM nation WHERE n_nationkey >= 20 OR n_nationkey % 7 = 0")
 def s_incremental_scan(t: Tables) -> DataFrame:
     """Files that a manifest doesn't list, or lists with another time: one file a nation, the first twenty listed, some of them with an older time."""
