@@ -104,7 +104,7 @@ def o_hierarchy(t: Tables) -> DataFrame:
 
 
 @query(
-    "E34",
+    "J17",
     """WITH s AS (SELECT s_suppkey, s_nationkey, CASE s_suppkey % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 0.5 ELSE 0 END::DOUBLE AS score FROM supplier) SELECT s_suppkey, score, score > 0.4 AS accepted, CASE WHEN score > 0.4 THEN n_name END AS country FROM s LEFT JOIN nation ON n_nationkey = s_nationkey""",
 )
 def e_river_scores(t: Tables) -> DataFrame:

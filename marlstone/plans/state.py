@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..operators import registry as R
 from ..operators.quantiles import exact_quantiles
 from ..sources import tables as S
+from ..streaming import backlog as B
 from ..streaming import streams as ST
 from .registry import Tables, query
 
@@ -155,7 +156,7 @@ def st_sliding(t: Tables) -> DataFrame:
     return got.select(F.col("window.start").cast("timestamp_ntz").alias("bucket"), "n")
 
 
-@query("ST4 ST2 ST7", "SELECT event_id, user_id FROM events")
+@query("ST4", "SELECT event_id, user_id FROM events")
 def st_once(t: Tables) -> DataFrame:
     return ST.run(ST.once_by_id(ST.source(t.spark, t.folder, "events")), "append", "once").select("event_id", "user_id")
 
@@ -169,3 +170,45 @@ def st_sessions(t: Tables) -> DataFrame:
     """Stretches of activity that are over for certain: those before the final watermark."""
     got = ST.run(ST.sessions(ST.source(t.spark, t.folder, "events")), "append", "sessions")
     return got.select("user_id", F.col("session_window.start").cast("timestamp_ntz").alias("started"), "n")
+
+
+def _stamps(t: Tables) -> DataFrame:
+    return t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("ST7 ST1", "SELECT date_trunc('hour', ts)::TIMESTAMP AS bucket, count(*) AS n FROM events GROUP BY 1")
+def st_limited(t: Tables) -> DataFrame:
+    """Hourly counts of a backlog of ten files, three a batch, in order of time; the stream is stopped after two batches and started again."""
+    place, rows = S.new_place(t.spark, "limited"), _stamps(t)
+    B.in_order(rows, f"{place}/inbox", "ts", 10)
+    for batches in (2, None):
+        counts = B.limited(t.spark, f"{place}/inbox", rows.schema, 3).withWatermark("ts", "10 minutes").groupBy(F.window("ts", "1 hour")).agg(F.count("*").alias("n"))
+        B.go_on(counts, "update", place, lambda b, k: b.write.mode("overwrite").parquet(f"{place}/out/batch={k:06d}"), batches)
+    got = ST.latest(t.spark.read.parquet(f"{place}/out"), ["window"])
+    return got.select(F.col("window.start").cast("timestamp_ntz").alias("bucket"), "n")
+
+
+@query("ST2", "SELECT event_id, CASE WHEN day(ts) <= 15 THEN 1 ELSE 2 END AS start FROM events")
+def st_new_files(t: Tables) -> DataFrame:
+    """Two starts from one checkpoint: the second takes only the files that came after the first."""
+    place, rows = S.new_place(t.spark, "new-files"), _stamps(t)
+    for start, part in ((1, F.dayofmonth("ts") <= 15), (2, F.dayofmonth("ts") > 15)):
+        B.in_order(rows.filter(part), f"{place}/inbox", "ts", 4)
+        stream = B.limited(t.spark, f"{place}/inbox", rows.schema, 2).select("event_id")
+        B.go_on(stream, "append", place, lambda b, k, start=start: b.write.mode("overwrite").parquet(f"{place}/out/start={start}/batch={k:06d}"))
+    return t.spark.read.option("basePath", f"{place}/out").parquet(f"{place}/out/start=*").select("event_id", F.col("start").cast("int").alias("start"))
+
+
+@query(
+    "ST3",
+    """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOURS THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g),
+       c AS (SELECT user_id, max(ts) AS last, count(*) AS n, k = max(k) OVER (PARTITION BY user_id) AS final FROM s GROUP BY user_id, k) SELECT user_id, last, n FROM c WHERE NOT final OR last + INTERVAL 2 HOURS < (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""",
+)
+def st_quiet_workers(t: Tables) -> DataFrame:
+    """Workers reset because they gave no sign for two hours: by the timer of their state, or where the next sign tells it."""
+    place, rows = S.new_place(t.spark, "quiet"), _stamps(t)
+    B.in_order(rows, f"{place}/inbox", "ts", 6)
+    with B.rocks_state(t.spark):
+        found = B.quiet(B.limited(t.spark, f"{place}/inbox", rows.schema, 2), "user_id", "ts", 7_200_000, "10 minutes")
+        B.go_on(found, "append", place, lambda b, k: b.write.mode("overwrite").parquet(f"{place}/out/batch={k:06d}"))
+    return t.spark.read.parquet(f"{place}/out").select(F.col("worker").alias("user_id"), F.col("last").cast("timestamp_ntz").alias("last"), "n")
