@@ -7,8 +7,9 @@ batched matrix products, so a token costs some 160 products instead of VOCAB. Th
 Passes over the documents, all whole:
 
 1. Counts of all tokens of the training documents. Each task counts before anything is shuffled.
-2. Training. Both factors learn by noise-contrastive estimation with drawn noise, in mini-batches with Adagrad. A common start is learned on the driver from at most WARM_DOCS documents; then
-   each task goes once over all its training documents, with mini-batches of one position in DRAWN of each, drawn anew for each document, and the tasks' changes are averaged, each row of a table by how often the task has seen it (one round of parameter mixing).
+2. Training. Both factors learn by noise-contrastive estimation with drawn noise, in mini-batches with Adagrad. A common start is learned on the driver from at most WARM_DOCS documents
+   and about WARM_TOKENS tokens (longer documents are left to the tasks); then each task goes once over all positions of all its training documents, and the tasks' changes are averaged, each row of a table by how often
+   the task has seen it (one round of parameter mixing).
    What the tasks pass on is summed by table and row, at most VOCAB + classes rows of SIZE + 1 numbers each.
 3. Scores. Words outside the vocabulary get the stand-in's probability times their own smoothed share among all such words.
 
@@ -40,7 +41,6 @@ VOCAB, CONTEXT, SIZE = 16_384, 2, 16
 CLASS_NOISE, WORD_NOISE = 16, 2  # draws: the first shared by a mini-batch, the others for each position
 POOL = 512  # draws that lie ready for each class
 BATCH, RATE = 4096, 0.04
-DRAWN = 3  # a task draws one position in so many of each of its documents
 WARM_DOCS, WARM_TOKENS, WARM_ROUNDS = 600, 300_000, 3
 SCORED = 16_384  # positions scored at once
 END, OTHER = 0, 1  # ids; words follow in order of frequency
@@ -224,11 +224,8 @@ class Trainer:
         self.net.places[j] += RATE * gradient / np.sqrt(self.squares[1][rows])[:, None]
         self.seen[1][rows] += n
 
-    def learn(self, ids: list[np.ndarray], drawn: int = 1) -> None:
+    def learn(self, ids: list[np.ndarray]) -> None:
         before, word = positions(ids)
-        if drawn > 1:
-            some = np.flatnonzero(self.rng.random(len(word)) * drawn < 1)
-            before, word = before[some], word[some]
         for a in range(0, len(word), BATCH):
             self.step(before[a : a + BATCH], word[a : a + BATCH])
 
@@ -294,8 +291,11 @@ def fit(training: DataFrame, counts: Counts) -> Model:
     number = _numbers(counts.hot, counts.words)
     warm, size = [], 0
     for r in sorted(bounded_sample(training, WARM_DOCS).collect(), key=lambda r: (r.text or "")):
-        warm.append(_ids(r.text, number)[:WARM_TOKENS])
-        size += len(warm[-1])
+        ids = _ids(r.text, number)
+        if len(ids) > WARM_TOKENS:
+            continue
+        warm.append(ids)
+        size += len(ids)
         if size > WARM_TOKENS:
             break
     start = Trainer(net, 1)
@@ -312,7 +312,7 @@ def fit(training: DataFrame, counts: Counts) -> Model:
         net, number = copy.deepcopy(start), _numbers(hot, len(hot))
         since, trainer = start.tables(), Trainer(net, 2 + TaskContext.get().partitionId())
         for batch in batches:
-            trainer.learn([_ids(t, number) for t in batch.column(0).to_pylist()], DRAWN)
+            trainer.learn([_ids(t, number) for t in batch.column(0).to_pylist()])
         for k, (moved, seen) in enumerate(zip(net.moved(since), trainer.seen, strict=True)):
             rows = np.flatnonzero(seen)
             if len(rows):
