@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that stand for a missing value.
@@ -58,3 +58,15 @@ def blank_to_null(c: Column) -> Column:
     return F.when(~F.lower(t).isin(*NULL_TOKENS), t)
 
 
+
+
+def selected(rows: DataFrame, state: dict, columns: dict[str, str], bridges: dict[str, tuple[DataFrame, str, str]], key: str) -> DataFrame:
+    """The rows that a filter state selects: its own columns by conjunction, and for each key of bridges a semi-join.
+
+    bridges: for a key of the state (table, its column of the rows' key, its column of values); only the table's rows with a wanted value are joined. An empty list asks for nothing."""
+    own = {k: v for k, v in state.items() if k not in bridges}
+    kept = rows.filter(conjunction(own, columns))
+    for name, (table, of, value) in bridges.items():
+        if wanted := state.get(name):
+            kept = kept.join(table.filter(F.col(value).isin(*wanted)).select(F.col(of).alias("_of")), F.col(key) == F.col("_of"), "left_semi")
+    return kept

@@ -26,7 +26,7 @@ _TOLD = (("review", 0.95, "rules_title_abstract"), ("multi_site", 0.88, "rules")
 
 
 @query(
-    "C6 V8 V9",
+    "C6 V8",
     f"""WITH {_TEXTS}, d AS (SELECT text_id, {_CASE} AS rule, {_any('body', C.WEAK_REVIEW)} AS weak FROM t), k AS (SELECT * FROM {table_sql('label, confidence, source', _TOLD)}),
         u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings),
         m AS (SELECT label, i, avg(e[i]) AS x FROM u, range(1, 65) r(i) WHERE vec_id % 20 = 0 GROUP BY 1, 2), p AS (SELECT label, list(x ORDER BY i) AS mean FROM m GROUP BY 1),

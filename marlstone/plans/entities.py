@@ -15,7 +15,7 @@ _MENTIONS = """SELECT l_orderkey AS doc, p_name AS name, p_type AS canonical, l_
 
 
 @query(
-    "E13 M9 V9",
+    "E13 M9",
     f"""WITH m AS ({_MENTIONS}), s AS (SELECT doc, canonical, name, round(least(1, 0.3 * pattern + 0.3 * context + 0.2 * embedding + 0.2 * coalesce(llm, 0) + CASE f WHEN 'A' THEN 0.20 WHEN 'R' THEN 0.35 ELSE 0 END), 4) AS score FROM m WHERE name NOT IN ('hot plate', 'old rod')),
         r AS (SELECT *, row_number() OVER (PARTITION BY doc, canonical ORDER BY score DESC, name) AS rn FROM s WHERE score >= 0.3) SELECT doc, canonical, name, score::DOUBLE AS score FROM r WHERE rn = 1""",
 )

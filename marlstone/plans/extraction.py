@@ -122,7 +122,7 @@ def e_verdict_coercion(t: Tables) -> DataFrame:
 
 
 @query(
-    "E19 S16",
+    "S16",
     """SELECT coalesce(a.o_custkey, b.c_custkey) AS k, coalesce(a.status, b.segment) AS label, (a.status IS NOT NULL)::INT + (b.segment IS NOT NULL)::INT AS sources FROM (SELECT o_custkey, max(o_orderstatus) AS status FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1) a FULL JOIN (SELECT c_custkey, c_mktsegment AS segment FROM customer WHERE c_acctbal > 0) b ON a.o_custkey = b.c_custkey""",
 )
 def e_hybrid_merge(t: Tables) -> DataFrame:

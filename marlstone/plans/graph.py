@@ -84,7 +84,7 @@ def g_summary(t: Tables) -> DataFrame:
 
 
 @query(
-    "G11 G12",
+    "A1",
     """SELECT a.l_orderkey AS fact_of, a.l_returnflag AS src_type, b.l_returnflag AS dst_type, count(*) AS n FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_returnflag = 'R' AND b.l_returnflag <> 'R' GROUP BY 1, 2, 3""",
 )
 def g_fact_links(t: Tables) -> DataFrame:
