@@ -1,8 +1,8 @@
 """URL verdicts: host and path rules first, gradient-boosted trees on lexical features for the rest. DataFrame functions only.
 
-The trees learn from labelled URLs. Block: those whose host has a seed word for unwanted sites. Allow: those that an allow rule decides, and
-those without a seed word that no rule decides; unwanted sites among these have the wrong label, which even weights of the classes make up for. What a block rule decides is
-no label: such rules are about places, not about how an address looks. No feature is made of labels: suffix statistics count the rows and hosts of the suffix, over all rows.
+The trees learn from labelled URLs. Block: those whose host has a seed word for unwanted sites, of any of several cues. Allow: those that an allow rule decides, and those that no rule decides and whose host has no
+listed word of any cue. Hosts with a listed word that is no seed have no label: the trees judge them by what they learned from the seeds, over all lexical features and how many listed words the host has.
+What a block rule decides is no label: such rules are about places, not about how an address looks. No feature is made of labels: suffix statistics count the rows and hosts of the suffix, over all rows.
 
 At most FIT_ROWS labelled rows, for each class those of least hash, are used for the fit (bounded sample of a classifier). The fitted trees are turned into
 CASE expressions, so that judging runs inside generated code over every row.
@@ -26,10 +26,18 @@ FIT_ROWS = 20_000
 TREES, DEPTH = 12, 3
 LEAF = 0.05  # share of the weight that a leaf has at least, so that a few wrongly labelled hosts make no leaf of their own
 
-# Words of host labels that mark a labelled URL as unwanted.
-BLOCK_WORDS = ("ads", "adserver", "casino", "doubleclick", "malware", "phish", "porn", "spam", "track", "tracker", "warez")
+# Words of host labels that tell an unwanted site, by cue; the first list of each are the seeds of labels, the second are judged by the model.
+CUES = {
+    "advertising": (("ads", "adserver", "doubleclick", "track", "tracker"), ("banner", "clicks", "popup", "popunder")),
+    "gambling": (("casino",), ("bet", "bets", "betting", "gambling", "jackpot", "lottery", "poker", "slots")),
+    "adult": (("porn", "adult"), ("escort", "sex", "xxx")),
+    "medicines": ((), ("meds", "pharma", "pills", "viagra")),
+    "malice": (("malware", "phish", "spam", "warez"), ("crack", "keygen", "phishing", "scam", "torrent")),
+}
+SEEDS = tuple(w for seeds, _ in CUES.values() for w in seeds)
+LISTED = tuple(w for seeds, others in CUES.values() for w in (*seeds, *others))
 
-FEATURES = ("f_length", "f_host_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_hyphens", "f_suffix_rows", "f_suffix_hosts")
+FEATURES = ("f_length", "f_host_length", "f_depth", "f_digits", "f_entropy", "f_params", "f_labels", "f_listed", "f_suffix_rows", "f_suffix_hosts")
 
 
 @dataclass(frozen=True)
@@ -100,7 +108,7 @@ def lexical(rows: DataFrame) -> DataFrame:
         .withColumn("f_entropy", entropy)
         .withColumn("f_params", (_count(url, "&") + F.when(F.locate("?", url) > 0, 1).otherwise(0)).cast("double"))
         .withColumn("f_labels", F.size(F.split("host", r"\.")).cast("double"))
-        .withColumn("f_hyphens", _count(F.col("host"), "-").cast("double"))
+        .withColumn("f_listed", F.size(F.filter(F.split("host", r"[.-]"), lambda word: word.isin(*LISTED))).cast("double"))
         .withColumn("_ms_suffix", F.substring_index("host", ".", -2))
     )
 
@@ -144,9 +152,10 @@ def prepared(pages: DataFrame, rules: tuple[Rule, ...], id_col: str, url_col: st
     """page_id, host, path, rule, the rule's verdict, features and label (y, null if none) of each row of pages."""
     rows = split_url(pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url")))
     rule, verdict = by_rules(rules)
-    seed = F.exists(F.split("host", r"[.-]"), lambda word: word.isin(*BLOCK_WORDS))
+    seed = F.exists(F.split("host", r"[.-]"), lambda word: word.isin(*SEEDS))
     rows = lexical(rows).withColumn("rule", rule).withColumn("_ms_verdict", verdict)
-    rows = rows.withColumn("y", F.when(seed, 1.0).when((F.col("host") != "") & F.coalesce(F.col("_ms_verdict") == "allow", F.lit(True)), 0.0))
+    plain = (F.col("host") != "") & (F.col("f_listed") == 0) & F.coalesce(F.col("_ms_verdict") == "allow", F.lit(True))
+    rows = rows.withColumn("y", F.when(seed, 1.0).when(plain, 0.0))
     return with_suffixes(rows)
 
 
