@@ -94,23 +94,24 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, tree, centroids: np.ndarray, over: Tree) -> tuple[np.ndarray, int]:
-    """(the nearest centroid of each point, the lesser number of equal ones; how many distances to points were compared)."""
+    """(the nearest centroid of each point, the lesser number of equal ones; how many distances were worked out, of node pairs and of points)."""
     out, compared = np.full(len(points), -1), 0
-    open_leaf: list[tuple[np.ndarray, np.ndarray]] = []
+    open_leaf: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     q, c, least = np.zeros(1, np.int64), np.zeros(1, np.int64), np.full(len(tree.centre), np.inf)
-    apart = np.sqrt(squared(points[tree.centre], centroids[over.centre]).astype(np.float64))
     while len(q):
-        d = apart[q, c]
+        gap = points[tree.centre[q]] - centroids[over.centre[c]]
+        d = np.sqrt(np.einsum("ij,ij->i", gap, gap).astype(np.float64))
+        compared += len(q)
         np.minimum.at(least, q, d + tree.radius[q])
         stays = (d - tree.radius[q] - over.radius[c]) * (1 - SLACK) <= least[q] * (1 + SLACK) + SLACK
-        q, c = q[stays], c[stays]
+        q, c, d = q[stays], c[stays], d[stays]
         left = np.bincount(q, minlength=len(tree.centre))
         alone = (left[q] == 1) & (over.last[c] - over.first[c] == 1)
         for node, centroid in zip(q[alone], over.order[over.first[c[alone]]]):
             out[tree.order[tree.first[node] : tree.last[node]]] = centroid
-        q, c = q[~alone], c[~alone]
+        q, c, d = q[~alone], c[~alone], d[~alone]
         both = (tree.children[q] == 0) & (over.children[c] == 0)
-        open_leaf.append((q[both], c[both]))
+        open_leaf.append((q[both], c[both], d[both]))
         q, c = q[~both], c[~both]
         # a pair gives the pairs of its children; a leaf stands for itself
         nq, nc = np.maximum(tree.children[q], 1), np.maximum(over.children[c], 1)
@@ -119,10 +120,10 @@ def nearest(points: np.ndarray, tree, centroids: np.ndarray, over: Tree) -> tupl
         q, c, nc = _spread(sq, nq), np.repeat(sc, nq), np.repeat(nc, nq)
         np.minimum.at(least, q, above)
         q, c = np.repeat(q, nc), _spread(c, nc)
-    q, c = (np.concatenate(parts) for parts in zip(*open_leaf)) if open_leaf else (q, c)
+    q, c, d = (np.concatenate(parts) for parts in zip(*open_leaf))
     if len(q):
         # a bound that fell after a leaf pair was set aside drops it now
-        stays = (apart[q, c] - tree.radius[q] - over.radius[c]) * (1 - SLACK) <= least[q] * (1 + SLACK) + SLACK
+        stays = (d - tree.radius[q] - over.radius[c]) * (1 - SLACK) <= least[q] * (1 + SLACK) + SLACK
         q, c = q[stays], c[stays]
         wanted = np.zeros((len(centroids), len(tree.centre)), bool)
         n = over.last[c] - over.first[c]
