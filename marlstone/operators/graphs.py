@@ -31,6 +31,19 @@ def reached(edges: DataFrame, start: DataFrame, hops: int, both: bool = False) -
     return seen.filter("hops > 0")
 
 
+def components(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, label: the least node of each node's component; pairs (a, b) go both ways and are stored. Each round takes labels from neighbours and from the label's own label."""
+    labels = nodes.select("node", F.col("node").alias("label"))
+    while True:
+        near = pairs.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
+        told = stored(labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was")), "labels")
+        up = told.select(F.col("node").alias("up"), F.col("label").alias("top"))
+        new = stored(told.join(up, F.col("label") == F.col("up")).select("node", F.least("label", "top").alias("label"), "was"), "labels")
+        if new.filter("label <> was").isEmpty():
+            return new.select("node", "label")
+        labels = new.select("node", "label")
+
+
 def merged(boxes: DataFrame, group: str, least: float = 0.0, cell: float = 64.0):
     """Transitive merge of boxes that touch within a group: components over touching pairs, in a stored table for each round.
 
@@ -42,12 +55,4 @@ def merged(boxes: DataFrame, group: str, least: float = 0.0, cell: float = 64.0)
     b = cells.select(group, "_cell", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")])
     touch = (F.col("a_x0") <= F.col("b_x1") + least) & (F.col("b_x0") <= F.col("a_x1") + least) & (F.col("a_y0") <= F.col("b_y1") + least) & (F.col("b_y0") <= F.col("a_y1") + least)
     pairs = stored(a.join(b, [group, "_cell"]).filter((F.col("a") != F.col("b")) & touch).select("a", "b").distinct(), "touching")
-    labels = boxes.select(F.col("id").alias("node"), F.col("id").alias("label"))
-    while True:
-        near = pairs.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
-        told = stored(labels.join(near, F.col("node") == F.col("a"), "left").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was")), "labels")
-        up = told.select(F.col("node").alias("up"), F.col("label").alias("top"))
-        new = stored(told.join(up, F.col("label") == F.col("up")).select("node", F.least("label", "top").alias("label"), "was"), "labels")
-        if new.filter("label <> was").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+    return components(pairs, boxes.select(F.col("id").alias("node")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import layout as L
+from ..operators import regions as R
 from .registry import Tables, query
 
 
@@ -118,3 +119,20 @@ def e_float_rows(t: Tables) -> DataFrame:
 def e_caption_rows(t: Tables) -> DataFrame:
     """Captions of figures and tables with the row that they belong to."""
     return L.caption_rows(layout(t))
+
+
+def blocks(t: Tables) -> DataFrame:
+    """Blocks of the pages of customers: each order is one, placed and told apart by its key."""
+    k = F.col("o_orderkey")
+    roles = F.array(*map(F.lit, ("figure", "graphic", "table", "formula", "caption", "table_head", "context", "graphic", "label")))
+    x, y = (k * 13 % 450).cast("double"), (k * 31 % 750).cast("double")
+    return t.orders.select(
+        F.col("o_custkey").alias("doc"), (k % 2 + 1).cast("int").alias("page"), k.alias("id"), F.element_at(roles, (k % 9 + 1).cast("int")).alias("role"),
+        F.when(k % 9 == 4, F.concat(F.lit("Figure with a map "), k.cast("string"))).otherwise(F.concat(F.lit("text "), k.cast("string"))).alias("text"), x.alias("x0"), y.alias("y0"), (x + 20 + k % 130).alias("x1"), (y + 15 + k % 80).alias("y1"),
+    )
+
+
+@query("E21 J16")
+def e_regions(t: Tables) -> DataFrame:
+    """Regions of pages with their captions; merged by families in rounds, so without SQL. Tested against a plain version."""
+    return R.regions(blocks(t)).withColumn("blocks", F.array_join("blocks", ","))
