@@ -113,17 +113,22 @@ def chunks(layout: Layout, strategies: Sequence[str] = ("sentence",), within: fl
     names = layout.sections.select("doc", "section", F.coalesce("title", F.lit("")).alias("title"), "level", F.coalesce("n", F.lit("")).alias("n"))
     named = lambda most: F.when(F.col("n") != "", F.col("n")).otherwise(F.substring("title", 1, most))
     about = (F.col("title"), F.col("level"), F.col("n"))
+
+    def placed(elements: DataFrame, keys: list[str]) -> DataFrame:
+        # keys with names and floats, once each and without texts, so that texts are moved once
+        return elements.select(*keys).join(names, ["doc", "section"]).dropDuplicates(keys).join(nearest_floats(elements, keys, layout.floats, within), keys, "left")
+
     abstract = _alone(layout.abstracts.select("doc", "text", F.lit(None).cast("string").alias("coords"), none.alias("citations")))
     out = [_chunk(abstract, "abstract", F.lit("abstract"), F.lit("Abstract"), F.lit(0), F.lit(""), least).withColumn("page", F.lit(1))]
     if "sentence" in strategies:
         keys = ["doc", "section", "paragraph", "place"]
-        rows = layout.sentences.join(nearest_floats(layout.sentences, keys, layout.floats, within), keys, "left").join(names, ["doc", "section"])
+        rows = layout.sentences.join(placed(layout.sentences, keys), keys)
         signed = F.concat_ws("_", named(12), F.col("place").cast("string"), F.substring(F.sha1("text"), 1, 8))
         out.append(_chunk(rows, "sentence", signed, *about, least))
     if "paragraph" in strategies:
         keys, para = ["doc", "section", "paragraph"], paragraphs(layout)
         alike = layout.sentences.groupBy(*keys).agg(F.first("paragraph_coords", ignorenulls=True).alias("coords"))
-        rows = para.join(nearest_floats(alike, keys, layout.floats, within), keys, "left").join(names, ["doc", "section"])
+        rows = para.join(placed(alike, keys), keys)
         out.append(_chunk(rows, "paragraph", F.concat(named(12), F.lit("_p"), F.col("paragraph").cast("string")), *about, least))
     if "section" in strategies:
         rows = _alone(section_texts(layout)).join(names, ["doc", "section"]).join(layout.sections.select("doc", "section", "coords"), ["doc", "section"])

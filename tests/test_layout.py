@@ -84,6 +84,12 @@ def test_chunks_of_a_small_document(spark):
         L.chunks(doc, ("word",))
 
 
+def test_repeated_sentences_stay_as_many(spark):
+    row = ("d", 0, 0, 0, LONG, [], "1,0,0,10,10", None)
+    got = L.chunks(laid(spark, [("d", 0, "T", 1, "", None)], [row, row]), ("sentence",)).collect()
+    assert len(got) == 2 and len({r.chunk_id for r in got}) == 1
+
+
 def test_rows_of_parts(spark):
     cells = [["Site", None], ["a", "0,5"]]
     doc = laid(
