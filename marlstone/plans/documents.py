@@ -114,6 +114,61 @@ def s_tei_references(t: Tables) -> DataFrame:
     return TEI.references(TEI.parsed(tei_documents(t)))
 
 
+def tei_people(t: Tables) -> DataFrame:
+    """doc_id and xml: one author for each line of an order, with one or two affiliations told in full at their first author only."""
+    k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    supplier = (F.col("l_suppkey") % 4).cast("string")
+    full = F.concat(
+        F.lit('<orgName type="institution">Institute '), supplier, F.lit("</orgName>"), F.when(n % 2 == 0, '<orgName type="department"> Waters </orgName>').otherwise(""), F.lit("<address>"), F.when(n % 3 == 0, "<settlement>Brno</settlement>").otherwise(""),
+        F.when(n % 5 == 0, "<postCode>602</postCode>").otherwise(""), F.lit('<country key="CZ">Czechia</country></address>'),
+    )
+    author = F.concat(
+        F.lit("<author><persName><forename>A</forename>"), F.when(n % 2 == 0, "<forename>B</forename>").otherwise(""), F.when(n % 4 > 0, F.concat(F.lit("<surname>Name"), n.cast("string"), F.lit("</surname>"))).otherwise(""), F.lit("</persName>"),
+        F.when(n == 1, "<email>a@b.org</email>").otherwise(""), F.lit('<affiliation key="aff'), supplier, F.lit('">'), full, F.lit("</affiliation>"), F.when(n % 3 == 1, '<affiliation key="aff9"><orgName type="laboratory">Lab</orgName></affiliation>').otherwise(""), F.lit("</author>"),
+    )
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", author.alias("a")))), lambda x: x["a"]), "")
+    body = t.lineitem.groupBy("l_orderkey").agg(joined.alias("a"))
+    head, tail = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title>T</title></titleStmt><sourceDesc><biblStruct><analytic>', "</analytic></biblStruct></sourceDesc></fileDesc></teiHeader></TEI>"
+    return body.select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit(head), "a", F.lit(tail)).alias("xml"))
+
+
+_PEOPLE = "p AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, l_suppkey % 4 AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_suppkey) - 1 AS ord FROM lineitem)"
+
+
+@query(
+    "S8",
+    f"""WITH {_PEOPLE}, f AS (SELECT doc_id, 'aff' || s AS key, ord, 0 AS k, n, s FROM p UNION ALL SELECT doc_id, 'aff9', ord, 1, NULL, NULL FROM p WHERE n % 3 = 1), m AS (SELECT doc_id, key, arg_min(row(n, s), row(ord, k)) AS r FROM f GROUP BY 1, 2), x AS (SELECT doc_id, key, r[1] AS n, r[2] AS s FROM m)
+        SELECT doc_id, key, 'Institute ' || s AS institution, CASE WHEN n % 2 = 0 THEN 'Waters' END AS department, CASE WHEN key = 'aff9' THEN 'Lab' END AS laboratory, CASE WHEN n % 3 = 0 THEN 'Brno' END AS settlement, CASE WHEN n % 5 = 0 THEN '602' END AS postcode, CASE WHEN key <> 'aff9' THEN 'Czechia' END AS country,
+            CASE WHEN key <> 'aff9' THEN 'CZ' END AS country_code, nullif(concat_ws(', ', CASE WHEN n % 3 = 0 THEN 'Brno' END, CASE WHEN n % 5 = 0 THEN '602' END, CASE WHEN key <> 'aff9' THEN 'Czechia' END), '') AS address FROM x""",
+)
+def s_tei_affiliations(t: Tables) -> DataFrame:
+    """Affiliations of TEI documents, each key once."""
+    return TEI.affiliations(TEI.parsed(tei_people(t)))
+
+
+@query(
+    "S8",
+    f"""WITH {_PEOPLE} SELECT doc_id, ord::INT AS ord, CASE WHEN n % 2 = 0 THEN 'A B' ELSE 'A' END AS forenames, 'Name' || n AS surname, CASE WHEN n = 1 THEN 'a@b.org' END AS email, CASE WHEN n % 3 = 1 THEN 'aff' || s || ',aff9' ELSE 'aff' || s END AS affiliations FROM p WHERE n % 4 > 0""",
+)
+def s_tei_authors(t: Tables) -> DataFrame:
+    """Authors of TEI documents with the keys of their affiliations."""
+    return TEI.authors(TEI.parsed(tei_people(t))).withColumn("affiliations", F.array_join("affiliations", ","))
+
+
+@query(
+    "S9 X8",
+    r"""WITH d AS (SELECT doc_id, unnest(string_split(replace(text, '$', ''), chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL), l AS (SELECT doc_id, i, line, i % 5 = 2 AS head FROM d), o AS (SELECT *, sum(head::INT) OVER w AS ord, sum((head OR trim(line) = '' OR i % 7 = 6)::INT) OVER w AS part FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        b AS (SELECT doc_id, ord, part, string_agg(trim(line), ' ' ORDER BY i) AS text FROM o WHERE NOT head AND trim(line) <> '' GROUP BY 1, 2, 3), n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, ord ORDER BY part) - 1 AS paragraph FROM b),
+        s AS (SELECT doc_id, ord, paragraph, list_filter(string_split(regexp_replace(text, '([.!?])\s+(\p{Lu})', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s_: regexp_matches(s_, '[\p{L}\p{N}]')) AS s FROM n)
+        SELECT doc_id, ord::BIGINT AS ord, paragraph::INT AS paragraph, (unnest(range(1, len(s) + 1)) - 1)::INT AS place, trim(unnest(s)) AS sentence FROM s""",
+)
+def s_markdown_sentences(t: Tables) -> DataFrame:
+    """Sentences of all documents as Markdown: of the lines of a text every fifth is a heading, before every seventh stands an empty line; signs of formulas are taken out."""
+    line = F.transform(F.split(F.replace("text", F.lit("$"), F.lit("")), "\n"), lambda x, i: F.when((i + 1) % 5 == 2, F.concat(F.lit("# "), x)).when((i + 1) % 7 == 6, F.concat(F.lit("\n"), x)).otherwise(x))
+    docs = t.documents.filter("text is not null").select("doc_id", F.array_join(line, "\n").alias("text"))
+    return M.sentences(M.lines(docs))
+
+
 # --- aliases ------------------------------------------------------------------------------------------------------------
 
 KINDS = ("method", "metric", "sensor")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import sentences as sentences_of
+
 HEADING = r"^(#{1,6})\s+(.*?)\s*$"
 REFERENCES = r"(?i)^(references|bibliography|literature)"
 
@@ -44,6 +46,18 @@ def sections(lined: DataFrame) -> DataFrame:
     return per.withColumn("parent", parents).filter((F.col("ord") > 0) | (F.col("n_lines") + F.col("n_formulas") + F.col("n_tables") > 0))
 
 
+def sentences(lined: DataFrame) -> DataFrame:
+    """doc_id, ord (the section's), paragraph (from 0 in the section), place (from 0 in the paragraph), sentence: lines of text up to a blank line, a heading, a formula or a table are one paragraph.
+
+    Lines are put together with a blank between them; stretches without a letter or digit are no sentences."""
+    order = Window.partitionBy("doc_id").orderBy("i")
+    rows = lined.withColumn("ord", F.sum((F.col("kind") == "heading").cast("int")).over(order)).filter("kind = 'text'")
+    per = rows.groupBy("doc_id", "ord", "block").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", F.trim("line").alias("s")))), lambda x: x["s"]), " ").alias("text"))
+    numbered = per.withColumn("paragraph", F.row_number().over(Window.partitionBy("doc_id", "ord").orderBy("block")) - 1)
+    cut = numbered.select("doc_id", "ord", "paragraph", F.posexplode(F.filter(sentences_of(F.col("text")), lambda s: s.rlike(r"[\p{L}\p{N}]"))).alias("place", "sentence"))
+    return cut.select("doc_id", "ord", "paragraph", "place", F.trim("sentence").alias("sentence"))
+
+
 def table_cells(lined: DataFrame) -> DataFrame:
     """table_id (doc_id and block), row_no and cells of pipe tables, without the line under the header; as operators.tables reads them."""
     rows = lined.filter("kind = 'table'").filter(~F.trim("line").rlike(r"^\|[\s:|-]+\|$"))

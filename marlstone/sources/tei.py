@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 _BIBL = "struct<_id string, analytic struct<title string, author array<struct<persName struct<surname string>>>>, monogr struct<title string, imprint struct<date struct<_when string>>>, idno string>"
 _FIGURE = "struct<_type string, _id string, _coords string, head string, label string, figDesc string, table struct<row array<struct<cell array<string>>>>>"
+_AFFILIATION = "struct<_key string, orgName array<struct<_type string, _VALUE string>>, address struct<settlement string, postCode string, country struct<_key string, _VALUE string>>>"
+_AUTHOR = f"struct<persName struct<forename array<string>, surname string>, email string, affiliation array<{_AFFILIATION}>>"
 SCHEMA = f"""
-    teiHeader struct<fileDesc struct<titleStmt struct<title string>, sourceDesc struct<biblStruct struct<analytic struct<author array<struct<persName struct<surname string>>>>, idno string>>>, profileDesc struct<abstract struct<p string>>>,
+    teiHeader struct<fileDesc struct<titleStmt struct<title string>, sourceDesc struct<biblStruct struct<analytic struct<author array<{_AUTHOR}>>, idno string>>>, profileDesc struct<abstract struct<p string>>>,
     text struct<body struct<div array<struct<head string, p array<string>, formula array<string>>>, figure array<{_FIGURE}>>, back struct<listBibl struct<biblStruct array<{_BIBL}>>>>,
     _corrupt_record string
 """
@@ -38,6 +40,31 @@ def headers(trees: DataFrame) -> DataFrame:
     )
 
 
+def _source_authors(trees: DataFrame) -> DataFrame:
+    return trees.select("doc_id", F.posexplode("teiHeader.fileDesc.sourceDesc.biblStruct.analytic.author").alias("ord", "a"))
+
+
+def authors(trees: DataFrame) -> DataFrame:
+    """doc_id, ord, forenames (with a blank between them), surname, email and the keys of the affiliations of each author, in their order; what is missing is null, authors without a surname are left out."""
+    said = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    keys = F.coalesce(F.array_compact(F.transform("a.affiliation", lambda x: x["_key"])), F.array().cast("array<string>"))
+    rows = _source_authors(trees).select("doc_id", "ord", F.array_join("a.persName.forename", " ").alias("forenames"), said("a.persName.surname").alias("surname"), said("a.email").alias("email"), F.array_distinct(keys).alias("affiliations"))
+    return rows.filter("surname is not null")
+
+
+def affiliations(trees: DataFrame) -> DataFrame:
+    """doc_id, key, institution, department, laboratory, settlement, postcode, country, country_code, address of a document's affiliations: each key once, as it comes first; those without a key count as one.
+
+    address: settlement, postcode and country as far as they are there; what is missing is null."""
+    rows = _source_authors(trees).select("doc_id", "ord", F.posexplode("a.affiliation").alias("k", "f"))
+    first = rows.groupBy("doc_id", F.col("f._key").alias("key")).agg(F.min_by("f", F.struct("ord", "k")).alias("f"))
+    said = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    named = lambda kind: said(F.get(F.filter("f.orgName", lambda o: o["_type"] == kind), F.lit(0))["_VALUE"]).alias(kind)
+    parts = {"settlement": "f.address.settlement", "postcode": "f.address.postCode", "country": "f.address.country._VALUE"}
+    address = F.concat_ws(", ", *[said(F.col(c)) for c in parts.values()])
+    return first.select("doc_id", "key", *map(named, ("institution", "department", "laboratory")), *[said(F.col(c)).alias(k) for k, c in parts.items()], said(F.col("f.address.country._key")).alias("country_code"), F.when(address != "", address).alias("address"))
+
+
 def sections(trees: DataFrame) -> DataFrame:
     """doc_id, ord (from 0), title, paragraphs, n_formulas of each section of the body."""
     rows = trees.select("doc_id", F.posexplode("text.body.div").alias("ord", "d"))
