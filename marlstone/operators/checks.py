@@ -57,7 +57,7 @@ def box_issues(elements: DataFrame) -> DataFrame:
     return found.union(issue(elements.filter(has & (F.coalesce("text", F.lit("")) == "")), "EMPTY_TEXT_COORDS", F.lit("")))
 
 
-def _sent(table: DataFrame) -> DataFrame:
+def sent(table: DataFrame) -> DataFrame:
     """A table of names, sent to all tasks if it is small, counted; a bigger one is dealt out by the join."""
     return F.broadcast(table) if table.limit(MOST_SENT + 1).count() <= MOST_SENT else table
 
@@ -66,7 +66,7 @@ def mentions(texts: DataFrame, names: DataFrame, around: int) -> DataFrame:
     """texts: text_id, text; names: name (one word), what. text_id, name, at (character, from 0) and context of each mention: words of the text are joined with the names."""
     low = F.lower("text")
     words = texts.select("text_id", "text", F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit(r"[a-z0-9][a-z0-9\-]*"), F.lit(0)))).alias("word"))
-    met = words.join(_sent(names.withColumn("word", F.lower("name"))), "word")
+    met = words.join(sent(names.withColumn("word", F.lower("name"))), "word")
     # places of the word as a whole word, by cutting the text at it
     parts = F.split(F.lower("text"), F.concat(F.lit(r"(?<![a-z0-9\-])\Q"), F.col("word"), F.lit(r"\E(?![a-z0-9\-])")))
     ends = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda k: F.aggregate(F.slice("parts", F.lit(1), k), F.lit(0), lambda a, x: a + F.length(x)) + (k - 1) * F.length("word"))
@@ -93,7 +93,7 @@ def sense_of(contexts: DataFrame, senses: DataFrame) -> DataFrame:
     text_id, name, sense, hits."""
     low = F.lower("context")
     count = lambda c: F.size(F.filter(c, lambda w: low.contains(w)))
-    scored = contexts.join(_sent(senses), "name").withColumn("hits", F.greatest(F.lit(0), count("signals") - count("excludes")))
+    scored = contexts.join(sent(senses), "name").withColumn("hits", F.greatest(F.lit(0), count("signals") - count("excludes")))
     best = scored.groupBy("text_id", "name").agg(F.max_by(F.struct("sense", "hits"), F.struct(F.col("hits"), -F.col("ord"))).alias("b"), F.max(F.when(F.col("fallback"), F.col("sense"))).alias("other"))
     return best.select("text_id", "name", F.when(F.col("b.hits") > 0, F.col("b.sense")).otherwise(F.col("other")).alias("sense"), F.col("b.hits").alias("hits"))
 

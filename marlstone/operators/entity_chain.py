@@ -1,6 +1,6 @@
 """The chain that decides on entities of documents: blocked names, best context, evidence of the context, role, sense, score with what sections add, one row for each canonical name.
 
-Entities: doc, name, canonical, pattern, embedding, llm (null: 0). Documents: doc (unique), title, sections (map of a section's name to its text). Senses: as for checks.sense_of. Defined cases: null
+Entities: doc, name, canonical, pattern, embedding, llm (null: 0). Documents: doc (unique), title, sections (map of a section's name to its text). Senses: name, sense, ord, signals, excludes (arrays), fallback. Defined cases: null
 names are blocked; an entity of an unknown document or one that its text doesn't hold has an empty context; those without a canonical name stay as they are; of equal scores the name that sorts first stays.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .checks import sense_of
+from .checks import sent
 from .entities import ACCEPT_FROM, EVIDENCE, SECTION_BOOST
 
 TITLE_BOOST, AROUND, PLACES = 0.25, 500, 10
@@ -49,8 +49,18 @@ def context_of(text: Column, name: Column, cues: Sequence[str] = CONTEXT_CUES, a
     return F.coalesce(F.when((text != "") & (name != ""), best), F.lit(""))
 
 
+def sense_in(low: Column, senses: Column) -> Column:
+    """Of an array of senses the one with most signals less excludes in a context in lower case, of equals the first; without any the fallback; null without senses."""
+    count = lambda words: F.size(F.filter(F.coalesce(words, F.array().cast("array<string>")), lambda w: low.contains(w)))
+    best = F.array_max(F.transform(senses, lambda s: F.struct(F.greatest(F.lit(0), count(s["signals"]) - count(s["excludes"])).alias("hits"), (-s["ord"]).alias("k"), s["sense"].alias("sense"))))
+    other = F.array_max(F.transform(F.filter(senses, lambda s: s["fallback"]), lambda s: s["sense"]))
+    return F.when(best["hits"] > 0, best["sense"]).otherwise(other)
+
+
 def chained(entities: DataFrame, documents: DataFrame, senses: DataFrame, blocked: Sequence[str] = BLOCKED, accept: float = ACCEPT_FROM, around: int = AROUND) -> DataFrame:
-    """doc, name, canonical, role, context_score, score, accepted, evidence, alt_evidence (that of the next best entity of the same canonical name)."""
+    """doc, name, canonical, role, context_score, score, accepted, evidence, alt_evidence (that of the next best entity of the same canonical name).
+
+    Texts are moved once, to their document's entities; all that follows stays in the tasks of that join, since its groups lie within a document."""
     trimmed = F.trim(F.coalesce("name", F.lit("")))
     kept = entities.filter((F.length(trimmed) > 1) & ~F.upper(trimmed).isin(*blocked)).select("doc", trimmed.alias("name"), "canonical", *[k for k in EVIDENCE if k != "context"])
     whole = documents.select("doc", F.coalesce("title", F.lit("")).alias("_title"), F.col("sections").alias("_sections"), F.array_join(F.map_values("sections"), " ").alias("_text"))
@@ -65,13 +75,14 @@ def chained(entities: DataFrame, documents: DataFrame, senses: DataFrame, blocke
     rows = met.select("doc", "name", "canonical", *evidence.values(), boost.alias("_boost"), context_of(F.coalesce("_text", F.lit("")), F.col("name"), around=around).alias("evidence"))
     near = F.lower("evidence")
     rows = rows.withColumn("context", F.when(_any(near, PLACE_CUES), 0.5).otherwise(0.0) + F.when(_any(near, USE_CUES), 0.3).otherwise(0.0)).withColumn("role", F.when(_any(near, ROLE_CUES), "used").otherwise("mentioned"))
-    # names of several senses: the sense tells the canonical name
-    meant = sense_of(rows.select(F.col("doc").alias("text_id"), "name", F.col("evidence").alias("context")), senses)
-    rows = rows.join(meant.select(F.col("text_id").alias("doc"), "name", "sense"), ["doc", "name"], "left").withColumn("canonical", F.coalesce("sense", "canonical")).drop("sense")
+    # names of several senses: the sense tells the canonical name; senses are looked up in an array for each name, so that rows stay where their document is
+    told = senses.groupBy("name").agg(F.collect_list(F.struct("sense", "ord", "signals", "excludes", "fallback")).alias("_senses"))
+    rows = rows.join(sent(told), "name", "left").withColumn("canonical", F.coalesce(sense_in(near, F.col("_senses")), "canonical")).drop("_senses")
     base = F.round(sum((F.col(k) * w for k, w in EVIDENCE.items()), F.lit(0.0)), 4)
     rows = rows.withColumn("score", F.least(F.lit(1.0), F.round(base + F.col("_boost"), 4))).withColumn("accepted", F.col("score") >= accept)
     rows = rows.select("doc", "name", "canonical", "role", F.col("context").alias("context_score"), "score", "accepted", "evidence")
+    # what has no canonical name is kept whole, beside those that are ranked
     bare = F.coalesce("canonical", F.lit("")) == ""
-    order = Window.partitionBy("doc", F.lower("canonical")).orderBy(F.desc("score"), "name", "evidence")
-    ranked = rows.filter(~bare).withColumns({"_rank": F.row_number().over(order), "alt_evidence": F.lead("evidence").over(order)}).filter("_rank = 1").drop("_rank")
-    return ranked.unionByName(rows.filter(bare).withColumn("alt_evidence", F.lit(None).cast("string")))
+    order = Window.partitionBy("doc", "_bare", F.lower("canonical")).orderBy(F.desc("score"), "name", "evidence")
+    ranked = rows.withColumn("_bare", bare).withColumns({"_rank": F.row_number().over(order), "alt_evidence": F.lead("evidence").over(order)}).filter("_bare or _rank = 1")
+    return ranked.withColumn("alt_evidence", F.when(~F.col("_bare"), F.col("alt_evidence"))).select(*rows.columns, "alt_evidence")
