@@ -99,3 +99,42 @@ def test_edges(spark):
     assert run(spark, rows[3:10], 2) == [] and run(spark, [], 1) == []
     huge = run(spark, [(1, [3e38] * 64), (2, [-3e38] * 64), (3, [3e38] + [0.0] * 63)], 1)
     assert [r[2] for r in huge] == [0, 0, 0]
+
+
+def test_leaves_whose_pairs_wait_are_not_taken_whole():
+    for seed in (98, 206, 314):
+        rng = np.random.default_rng(seed)
+        n = int(rng.integers(2, 400))
+        k = int(min(n, rng.integers(2, 17)))
+        points = np.zeros((n, 64), np.int64)
+        points[:, :2] = rng.integers(-50, 50, (n, 2))
+        centroids = points[rng.permutation(n)[:k]]
+        got, _ = C.nearest(points, C.Tree(points), centroids, C.Tree(centroids, 1))
+        assert (got == all_nearest(points, centroids)).all()
+
+
+@pytest.mark.parametrize("high", [1e7, 1e20, 1e160, 1.7e308])
+def test_walk_over_wide_vectors(high):
+    rng = np.random.default_rng(3)
+    v = np.concatenate([rng.normal(0, 1, (60, 64)), rng.choice([-1, 0, 1], (60, 64)) * high, rng.normal(0, high / 9, (20, 64))])
+    points, narrow = C.whole(v, 64), C.whole(np.floor(v[:60] * 64) / 64, 64)
+    assert points.dtype == object and narrow.dtype == np.int64 and points[70].tolist() == [int(x) * 64 for x in v[70]]
+    centroids = points[[0, 5, 70, 70, 90, 130]]
+    over = C.Tree(centroids, 1)
+    for p in (points, narrow):
+        got, _ = C.nearest(p, C.Tree(p), centroids, over)
+        assert (got == all_nearest(p, centroids)).all()
+
+
+def fitting(rows):
+    return [tuple(None if isinstance(x, int) and x >= 2**63 else x for x in r) for r in rows]
+
+
+def test_large_components_count_as_they_are(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(0, 1, 64).astype(np.float32).tolist()) for k in range(60)]
+    rows += [(k, [float(np.float32(1.5e6 + 3e5 * (k % 3)))] + rng.normal(0, 1, 63).astype(np.float32).tolist()) for k in range(60, 90)]
+    expected = plain(rows)
+    assert run(spark, rows, 3) == expected == fitting(expected)
+    rows += [(k, [float(np.float32((k % 5 - 2) * 10.0 ** (6 + k % 33)))] * 64) for k in range(90, 420)]
+    assert run(spark, rows, 3) == sorted(fitting(plain(rows)), key=repr)
