@@ -27,6 +27,7 @@ import copy
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,8 @@ CLASS_NOISE, WORD_NOISE = 16, 2  # draws: the first shared by a mini-batch, the
 POOL = 512  # draws that lie ready for each class
 BATCH, RATE = 4096, 0.04
 WARM_DOCS, WARM_TOKENS, WARM_ROUNDS = 600, 300_000, 3
-SCORED = 16_384  # positions scored at once
+SCORED = 65_536  # positions scored at once
+CELLS = 1 << 18  # scores worked out at once, so that they stay in a core's cache
 END, OTHER = 0, 1  # ids; words follow in order of frequency
 COUNTED = 250_000  # different tokens a task counts before it passes them on
 
@@ -157,6 +159,11 @@ def positions(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([line[at - j] for j in range(1, CONTEXT + 1)], axis=1), line[at]
 
 
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """table[at], by the quicker way for short rows."""
+    return table.take(at, axis=0, mode="clip")
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -178,41 +185,48 @@ class Trainer:
         found = np.searchsorted(self.word_sums, draws)
         return np.clip(found, self.net.starts[:-1, None], self.net.starts[1:, None] - 1)
 
-    def _add(self, k: int, rows: np.ndarray, gradients: np.ndarray) -> None:
-        """Adagrad on rows of table k; gradients of equal rows are summed."""
+    def _add(self, k: int, rows: np.ndarray, gradients: np.ndarray, times: np.ndarray | None = None, each: int = 1) -> None:
+        """Adagrad on rows of table k; gradients of equal rows are summed. The gradient of rows[i] is gradients[i // each], times times[i]."""
         order = np.argsort(rows.astype(np.uint16), kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        total, rows, times = np.add.reduceat(gradients[order], first), rows[first], np.diff(np.append(first, len(rows)))
-        self.squares[k][rows] += (total * total).mean(axis=1)
-        getattr(self.net, self.net.NAMES[k])[rows] += RATE * total / np.sqrt(self.squares[k][rows])[:, None]
-        self.seen[k][rows] += times
+        sorted_by_row = _rows(gradients, order // each if each > 1 else order)
+        if times is not None:
+            sorted_by_row *= times[order][:, None]
+        total, rows, n = np.add.reduceat(sorted_by_row, first), rows[first], np.diff(np.append(first, len(rows)))
+        squares = self.squares[k][rows] + np.einsum("ij,ij->i", total, total) / np.float32(total.shape[1])
+        self.squares[k][rows] = squares
+        total *= (np.float32(RATE) / np.sqrt(squares))[:, None]
+        table = getattr(self.net, self.net.NAMES[k])
+        table[rows] = _rows(table, rows) + total
+        self.seen[k][rows] += n
 
     def step(self, before: np.ndarray, word: np.ndarray) -> None:
         net, n = self.net, len(word)
         if self.turn % 100 == 0:
             self.pool = self._pool()
         self.turn += 1
-        each = [net.vectors[before[:, j]] for j in range(CONTEXT)]
+        each = [_rows(net.vectors, before[:, j]) for j in range(CONTEXT)]
         h = np.ones((n, SIZE + 1), np.float32)
         h[:, :SIZE] = sum(e @ net.places[j] for j, e in enumerate(each))
         of = net.class_of[word]
         # classes: the true one against draws that the batch shares
         drawn = np.minimum(np.searchsorted(self.class_sums, self.rng.random(CLASS_NOISE)), len(net.classes) - 1)
-        true = 1 - _sigmoid((h * net.classes[of]).sum(axis=1) - self.class_base[of])
+        own = _rows(net.classes, of)
+        true = 1 - _sigmoid(np.einsum("nd,nd->n", h, own) - self.class_base[of])
         false = -_sigmoid(h @ net.classes[drawn].T - self.class_base[drawn])
-        back = true[:, None] * net.classes[of] + false @ net.classes[drawn]
-        class_rows, class_pull = np.concatenate([of, drawn]), np.concatenate([true[:, None] * h, false.T @ h])
+        back = false @ net.classes[drawn]
+        back += np.einsum("n,nd->nd", true, own)
         # words: the true one against draws from its class
         rivals = self.pool[of[:, None], self.rng.integers(0, POOL, (n, WORD_NOISE))]
         every = np.concatenate([word[:, None], rivals], axis=1)
-        q = net.words[every]
-        pull = -_sigmoid(np.matmul(q, h[:, :, None])[:, :, 0] - self.word_base[every])
+        q = _rows(net.words, every)
+        pull = -_sigmoid(np.einsum("nkd,nd->nk", q, h) - self.word_base[every])
         pull[:, 0] += 1
-        back += np.matmul(pull[:, None, :], q)[:, 0]
+        back += np.einsum("nk,nkd->nd", pull, q)
         back = back[:, :SIZE]
-        self._add(3, every.ravel(), (pull[:, :, None] * h[:, None, :]).reshape(-1, SIZE + 1))
-        self._add(2, class_rows.astype(np.int64), class_pull)
+        self._add(3, every.ravel(), h, pull.ravel(), 1 + WORD_NOISE)
+        self._add(2, np.concatenate([of, drawn]).astype(np.int64), np.concatenate([h, false.T @ h]), np.concatenate([true, np.ones(CLASS_NOISE, np.float32)]))
         pulls = [back @ net.places[j].T for j in range(CONTEXT)]
         for j, e in enumerate(each):
             self._place(j, e.T @ back, n)
@@ -248,30 +262,39 @@ class Model:
         """Natural log P(word | words before) of each position."""
         out = np.empty(len(word))
         for a in range(0, len(word), SCORED):
-            b, w = before[a : a + SCORED], word[a : a + SCORED]
-            h = np.ones((len(w), SIZE + 1), np.float32)
-            h[:, :SIZE] = sum(self.moved[j][b[:, j]] for j in range(CONTEXT))
-            of = self.class_of[w]
-            got = _normalised(h @ self.classes.T, of)
+            # in order of class, so that a class's positions are a slice
+            of = self.class_of[word[a : a + SCORED]]
             order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(len(self.starts)))
+            of, w, b = of[order], word[a + order], before[a + order]
+            h = np.ones((len(w), SIZE + 1), np.float32)
+            h[:, :SIZE] = sum(_rows(self.moved[j], b[:, j]) for j in range(CONTEXT))
+            got = _log_shares(h, self.classes, of)
+            ends = np.searchsorted(of, np.arange(len(self.starts)))
             for k in np.flatnonzero(np.diff(ends)):
-                rows, first = order[ends[k] : ends[k + 1]], self.starts[k]
-                got[rows] += _normalised(h[rows] @ self.words[first : self.starts[k + 1]].T, w[rows] - first)
-            out[a : a + SCORED] = got
+                at, first = slice(ends[k], ends[k + 1]), self.starts[k]
+                got[at] += _log_shares(h[at], self.words[first : self.starts[k + 1]], w[at] - first)
+            out[a + order] = got
         return out
 
 
+def _log_shares(h: np.ndarray, members: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of the chosen member for each row of h."""
+    out, step = np.empty(len(h)), max(1, CELLS // len(members))
+    for a in range(0, len(h), step):
+        out[a : a + step] = _normalised(h[a : a + step] @ members.T, chosen[a : a + step])
+    return out
+
+
 def _normalised(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log-probability of the chosen column in each row of scores. Scores are taken against the chosen one; where that is too small for a sum, against the greatest."""
-    picked = scores[np.arange(len(scores)), chosen]
-    scores -= picked[:, None]
+    """Log-probability of the chosen column in each row of scores. Where the sum is too small or too great for a float, scores are taken against the greatest."""
+    picked = scores[np.arange(len(scores)), chosen].astype(np.float64)
     with np.errstate(over="ignore"):
         sums = np.exp(scores).sum(axis=1)
-    out = -np.log(sums)
-    for k in np.flatnonzero(~np.isfinite(out)):
+    sound = (sums > 1e-30) & (sums < np.inf)
+    out = picked - np.log(np.where(sound, sums, 1))
+    for k in np.flatnonzero(~sound):
         top = scores[k].max()
-        out[k] = -top - np.log(np.exp(scores[k] - top).sum())
+        out[k] = picked[k] - top - np.log(np.exp(scores[k] - top).sum())
     return out
 
 
@@ -281,7 +304,7 @@ def _numbers(hot: list[bytes], words: int) -> dict[bytes, int]:
 
 def _ids(text: str | None, number: dict[bytes, int]) -> np.ndarray:
     words = tokens_of(text)
-    return np.fromiter((number.get(w, OTHER) for w in words), np.int64, len(words))
+    return np.fromiter(map(number.get, words, repeat(OTHER)), np.int64, len(words))
 
 
 def fit(training: DataFrame, counts: Counts) -> Model:
@@ -352,7 +375,7 @@ def _first_scores(docs: DataFrame, counts: Counts, model: Model) -> DataFrame:
             ranks, inside = [], []
             for text in batch.column(3).to_pylist():
                 words = tokens_of(text)
-                ids = np.fromiter((number.get(w, -1) for w in words), np.int64, len(words))
+                ids = np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words))
                 far = (ids < 0) | (ids >= m)
                 logs = log[ids]
                 rare = Counter(words[k] for k in np.flatnonzero(ids < 0).tolist())

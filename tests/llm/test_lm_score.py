@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -118,3 +119,37 @@ def test_edges(spark):
     assert L.score(df.limit(0)).count() == 0
     only_held = spark.createDataFrame([(i, "x y") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
     assert {(r.n_known, r.train_tokens, r.base_score) for r in L.score(only_held).collect()} == {(0, 0, 0.0)}
+
+
+def test_scores_are_worked_out_in_bounded_blocks():
+    """What is in work at once doesn't grow with positions times words of a class (before, 220 MB here)."""
+    rng = np.random.default_rng(6)
+    net = L.Net(np.concatenate([[1e9] * 4, np.ones(6000)]))
+    model, widest = L.Model.of(net), int(np.diff(net.starts).argmax())
+    word = rng.integers(net.starts[widest], net.starts[widest + 1], 12_000)
+    before = rng.integers(0, 6004, (12_000, L.CONTEXT))
+    assert np.diff(net.starts)[widest] > 1000
+    tracemalloc.start()
+    got = model.log_probabilities(before, word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6
+    h = np.ones((50, L.SIZE + 1))
+    h[:, : L.SIZE] = sum(model.moved[j][before[:50, j]] for j in range(L.CONTEXT))
+    words = h @ model.words[net.starts[widest] : net.starts[widest + 1]].T
+    classes = h @ model.classes.T
+    share = lambda s, k: s[np.arange(len(s)), k] - np.log(np.exp(s).sum(axis=1))
+    assert np.allclose(got[:50], share(classes, np.full(50, widest)) + share(words, word[:50] - net.starts[widest]), atol=1e-4)
+
+
+def test_rows_that_come_several_times_add_their_gradients():
+    trainer = L.Trainer(L.Net(np.ones(30)), 3)
+    rng = np.random.default_rng(8)
+    rows, h, times = rng.integers(0, 30, 60), rng.normal(size=(20, L.SIZE + 1)).astype(np.float32), rng.normal(size=60).astype(np.float32)
+    before, squares = trainer.net.words.copy(), trainer.squares[3].copy()
+    trainer._add(3, rows, h, times, 3)
+    for r in range(30):
+        total = sum((times[i] * h[i // 3] for i in range(60) if rows[i] == r), np.zeros(L.SIZE + 1))
+        squares[r] += (total**2).mean()
+        assert np.allclose(trainer.net.words[r], before[r] + L.RATE * total / np.sqrt(squares[r]), atol=1e-5)
+    assert np.allclose(trainer.squares[3], squares, rtol=1e-4) and (trainer.seen[3] == np.bincount(rows, minlength=30)).all()
