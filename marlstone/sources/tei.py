@@ -6,29 +6,37 @@ paragraph is its text; names are matched without their namespaces; an empty tabl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BIBL = "struct<_id string, analytic struct<title string, author array<struct<persName struct<surname string>>>>, monogr struct<title string, imprint struct<date struct<_when string>>>, idno string>"
 _FIGURE = "struct<_type string, _id string, _coords string, head string, label string, figDesc string, table struct<row array<struct<cell array<string>>>>>"
 _AFFILIATION = "struct<_key string, orgName array<struct<_type string, _VALUE string>>, address struct<settlement string, postCode string, country struct<_key string, _VALUE string>>>"
 _AUTHOR = f"struct<persName struct<forename array<string>, surname string>, email string, affiliation array<{_AFFILIATION}>>"
-SCHEMA = f"""
-    teiHeader struct<fileDesc struct<titleStmt struct<title string>, sourceDesc struct<biblStruct struct<analytic struct<author array<{_AUTHOR}>>, idno string>>>, profileDesc struct<abstract struct<p string>>>,
-    text struct<body struct<div array<struct<head string, p array<string>, formula array<string>>>, figure array<{_FIGURE}>>, back struct<listBibl struct<biblStruct array<{_BIBL}>>>>,
-    _corrupt_record string
-"""
+_PARTS = {
+    "header": f"teiHeader struct<fileDesc struct<titleStmt struct<title string>, sourceDesc struct<biblStruct struct<analytic struct<author array<{_AUTHOR}>>, idno string>>>, profileDesc struct<abstract struct<p string>>>",
+    "body": f"body struct<div array<struct<head string, p array<string>, formula array<string>>>, figure array<{_FIGURE}>>",
+    "back": f"back struct<listBibl struct<biblStruct array<{_BIBL}>>>",
+}
 
 
-def parsed(docs: DataFrame, id_col: str = "doc_id", xml_col: str = "xml") -> DataFrame:
-    """doc_id and the document's tree (teiHeader, text) of each document that is XML."""
+def parsed(docs: DataFrame, id_col: str = "doc_id", xml_col: str = "xml", parts: Sequence[str] = tuple(_PARTS)) -> DataFrame:
+    """doc_id and the document's tree (teiHeader, text) of each document that is XML. parts: what is read of it (header, body, back); a document without any of them is left out, the others are still checked to their end.
+
+    A text is parsed once: the tree comes out of a generator, so that neither filters nor fields of it are moved to before the parse, where each would parse the text anew."""
+    text = ", ".join(_PARTS[p] for p in _PARTS if p in parts and p != "header")
+    told = [*([_PARTS["header"]] if "header" in parts else []), *([f"text struct<{text}>"] if text else []), "_corrupt_record string"]
     options = {"mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"}
-    tree = F.from_xml(F.col(f"`{xml_col}`"), F.lit(" ".join(SCHEMA.split())), options)
-    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), tree.alias("t")).filter("t is not null and t._corrupt_record is null and (t.teiHeader is not null or t.text is not null)").select("doc_id", "t.teiHeader", "t.text")
+    tree = F.from_xml(F.col(f"`{xml_col}`"), F.lit(", ".join(told)), options)
+    trees = [c for c, there in (("teiHeader", "header" in parts), ("text", bool(text))) if there]
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.explode(F.array(tree)).alias("t"))
+    return rows.filter("t._corrupt_record is null").filter(" or ".join(f"t.{c} is not null" for c in trees)).select("doc_id", *[f"t.{c}" for c in trees])
 
 
-def headers(trees: DataFrame) -> DataFrame:
-    """doc_id, title, doi, authors (surnames), abstract, n_sections, n_figures, n_tables, n_references."""
+def headers(trees: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, title, doi, authors (surnames), abstract, n_sections, n_figures, n_tables, n_references; and the columns of trees to keep."""
     source = "teiHeader.fileDesc.sourceDesc.biblStruct"
     tables = F.size(F.filter("text.body.figure", lambda f: f["_type"] == "table"))
     n = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c))
@@ -36,7 +44,7 @@ def headers(trees: DataFrame) -> DataFrame:
     return trees.select(
         "doc_id", F.trim("teiHeader.fileDesc.titleStmt.title").alias("title"), F.lower(F.trim(f"{source}.idno")).alias("doi"),
         F.coalesce(F.transform(f"{source}.analytic.author", lambda a: a["persName"]["surname"]), F.array().cast("array<string>")).alias("authors"), F.trim("teiHeader.profileDesc.abstract.p").alias("abstract"),
-        n("text.body.div").alias("n_sections"), (n("text.body.figure") - n_tables).alias("n_figures"), n_tables.alias("n_tables"), n("text.back.listBibl.biblStruct").alias("n_references"),
+        n("text.body.div").alias("n_sections"), (n("text.body.figure") - n_tables).alias("n_figures"), n_tables.alias("n_tables"), n("text.back.listBibl.biblStruct").alias("n_references"), *keep,
     )
 
 
@@ -65,10 +73,18 @@ def affiliations(trees: DataFrame) -> DataFrame:
     return first.select("doc_id", "key", *map(named, ("institution", "department", "laboratory")), *[said(F.col(c)).alias(k) for k, c in parts.items()], said(F.col("f.address.country._key")).alias("country_code"), F.when(address != "", address).alias("address"))
 
 
+def _section(d: Column) -> list[Column]:
+    return [F.trim(d["head"]).alias("title"), F.coalesce(d["p"], F.array().cast("array<string>")).alias("paragraphs"), F.when(d["formula"].isNull(), 0).otherwise(F.size(d["formula"])).alias("n_formulas")]
+
+
 def sections(trees: DataFrame) -> DataFrame:
     """doc_id, ord (from 0), title, paragraphs, n_formulas of each section of the body."""
-    rows = trees.select("doc_id", F.posexplode("text.body.div").alias("ord", "d"))
-    return rows.select("doc_id", "ord", F.trim("d.head").alias("title"), F.coalesce("d.p", F.array().cast("array<string>")).alias("paragraphs"), F.when(F.col("d.formula").isNull(), 0).otherwise(F.size("d.formula")).alias("n_formulas"))
+    return trees.select("doc_id", F.posexplode("text.body.div").alias("ord", "d")).select("doc_id", "ord", *_section(F.col("d")))
+
+
+def with_first_section(trees: DataFrame, name: str = "first") -> DataFrame:
+    """The trees that have sections, with title, paragraphs, n_formulas of the first one as a struct."""
+    return trees.filter(F.size("text.body.div") > 0).withColumn(name, F.struct(*_section(F.get("text.body.div", F.lit(0)))))
 
 
 def table_cells(trees: DataFrame) -> DataFrame:

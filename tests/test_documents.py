@@ -9,6 +9,7 @@ from marlstone.operators import entities as E
 from marlstone.operators import property_graph as G
 from marlstone.operators import reasoning, registry, tables
 from marlstone.operators import vectors as V
+from marlstone.plans import catalog
 from marlstone.sources import markdown as M
 from marlstone.sources import tables as S
 from marlstone.sources import tei as TEI
@@ -145,3 +146,36 @@ def test_merged_boxes_by_brute_force(spark):
     df = spark.createDataFrame(boxes, "id int, page int, x0 double, y0 double, x1 double, y1 double")
     assert {r.node: r.label for r in merged(df, "page", 2.0).collect()} == label
     assert len(set(label.values())) < 110
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["s_tei_documents", "s_tei_references", "s_tei_authors", "s_tei_affiliations"])
+def test_tei_texts_are_parsed_once(spark, sf_dir, name):
+    df = catalog.QUERIES[name](spark, sf_dir)
+    assert _plan(df).count("from_xml(") == 1
+
+
+def test_tei_documents_are_dealt_out_before_they_are_made(spark, sf_dir):
+    from marlstone.plans.documents import tei_documents
+    from marlstone.plans.registry import Tables
+
+    docs = tei_documents(Tables(spark, sf_dir))
+    assert docs.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "xml" not in _plan(docs).split("Repartition")[-1]  # keys are dealt out, not texts
+
+
+def test_parts_of_tei_are_read_as_of_the_whole(spark):
+    docs = spark.createDataFrame([
+        (1, None), (2, "plain"), (3, "<TEI><text><body><div><head>H</head></div></body><back><listBibl><biblStruct><idno>10.1/A</idno></biblStruct></listBibl></back></text></TEI>"),
+        (4, "<TEI><text><back><listBibl><biblStruct/><biblStruct><idno>x</idno></biblStruct></listBibl></back><body><div>"), (5, "<TEI/>"),
+        (6, "<TEI><teiHeader/><text><body><div/><div><head>Second</head></div></body></text></TEI>"), (7, "<TEI><teiHeader><fileDesc><titleStmt><title>T</title></titleStmt></fileDesc></teiHeader></TEI>"),
+    ], "doc_id long, xml string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    whole = TEI.parsed(docs)
+    assert rows(TEI.references(TEI.parsed(docs, parts=["back"]))) == rows(TEI.references(whole)) and TEI.references(whole).count() == 1
+    assert rows(TEI.sections(TEI.parsed(docs, parts=["body"]))) == rows(TEI.sections(whole))
+    first = TEI.with_first_section(whole).select("doc_id", "first.*")
+    assert rows(first) == rows(TEI.sections(whole).filter("ord = 0").drop("ord")) and first.count() == 2
