@@ -115,7 +115,7 @@ def s_tei_facts(t: Tables) -> DataFrame:
 )
 def s_tei_references(t: Tables) -> DataFrame:
     """Bibliographies of TEI documents."""
-    return TEI.references(TEI.parsed(tei_documents(t)))
+    return TEI.references(TEI.parsed(tei_documents(t), parts=["back"]))
 
 
 def tei_people(t: Tables) -> DataFrame:
