@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aliases as A
@@ -120,18 +120,20 @@ def s_tei_references(t: Tables) -> DataFrame:
 
 def tei_people(t: Tables) -> DataFrame:
     """doc_id and xml: one author for each line of an order, with one or two affiliations told in full at their first author only."""
-    k, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
-    supplier = (F.col("l_suppkey") % 4).cast("string")
-    full = F.concat(
-        F.lit('<orgName type="institution">Institute '), supplier, F.lit("</orgName>"), F.when(n % 2 == 0, '<orgName type="department"> Waters </orgName>').otherwise(""), F.lit("<address>"), F.when(n % 3 == 0, "<settlement>Brno</settlement>").otherwise(""),
-        F.when(n % 5 == 0, "<postCode>602</postCode>").otherwise(""), F.lit('<country key="CZ">Czechia</country></address>'),
-    )
-    author = F.concat(
-        F.lit("<author><persName><forename>A</forename>"), F.when(n % 2 == 0, "<forename>B</forename>").otherwise(""), F.when(n % 4 > 0, F.concat(F.lit("<surname>Name"), n.cast("string"), F.lit("</surname>"))).otherwise(""), F.lit("</persName>"),
-        F.when(n == 1, "<email>a@b.org</email>").otherwise(""), F.lit('<affiliation key="aff'), supplier, F.lit('">'), full, F.lit("</affiliation>"), F.when(n % 3 == 1, '<affiliation key="aff9"><orgName type="laboratory">Lab</orgName></affiliation>').otherwise(""), F.lit("</author>"),
-    )
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", author.alias("a")))), lambda x: x["a"]), "")
-    body = t.lineitem.groupBy("l_orderkey").agg(joined.alias("a"))
+    def author(line: Column) -> Column:
+        n, supplier = line["l_linenumber"], (line["l_suppkey"] % 4).cast("string")
+        full = F.concat(
+            F.lit('<orgName type="institution">Institute '), supplier, F.lit("</orgName>"), F.when(n % 2 == 0, '<orgName type="department"> Waters </orgName>').otherwise(""), F.lit("<address>"), F.when(n % 3 == 0, "<settlement>Brno</settlement>").otherwise(""),
+            F.when(n % 5 == 0, "<postCode>602</postCode>").otherwise(""), F.lit('<country key="CZ">Czechia</country></address>'),
+        )
+        return F.concat(
+            F.lit("<author><persName><forename>A</forename>"), F.when(n % 2 == 0, "<forename>B</forename>").otherwise(""), F.when(n % 4 > 0, F.concat(F.lit("<surname>Name"), n.cast("string"), F.lit("</surname>"))).otherwise(""), F.lit("</persName>"),
+            F.when(n == 1, "<email>a@b.org</email>").otherwise(""), F.lit('<affiliation key="aff'), supplier, F.lit('">'), full, F.lit("</affiliation>"), F.when(n % 3 == 1, '<affiliation key="aff9"><orgName type="laboratory">Lab</orgName></affiliation>').otherwise(""), F.lit("</author>"),
+        )
+
+    # lines are dealt out and put in order; authors are made of them after that, so that no texts are moved
+    lines = _dealt_out(t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey"), "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey"))).alias("lines"))
+    body = lines.select("l_orderkey", F.array_join(F.transform("lines", author), "").alias("a"))
     head, tail = '<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt><title>T</title></titleStmt><sourceDesc><biblStruct><analytic>', "</analytic></biblStruct></sourceDesc></fileDesc></teiHeader></TEI>"
     return body.select(F.col("l_orderkey").alias("doc_id"), F.concat(F.lit(head), "a", F.lit(tail)).alias("xml"))
 
@@ -147,7 +149,7 @@ _PEOPLE = "p AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, l_suppkey % 4 A
 )
 def s_tei_affiliations(t: Tables) -> DataFrame:
     """Affiliations of TEI documents, each key once."""
-    return TEI.affiliations(TEI.parsed(tei_people(t)))
+    return TEI.affiliations(TEI.parsed(tei_people(t), parts=["header"]))
 
 
 @query(

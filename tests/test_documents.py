@@ -179,3 +179,11 @@ def test_parts_of_tei_are_read_as_of_the_whole(spark):
     assert rows(TEI.sections(TEI.parsed(docs, parts=["body"]))) == rows(TEI.sections(whole))
     first = TEI.with_first_section(whole).select("doc_id", "first.*")
     assert rows(first) == rows(TEI.sections(whole).filter("ord = 0").drop("ord")) and first.count() == 2
+
+
+def test_people_are_shuffled_as_numbers(spark, sf_dir):
+    from marlstone.plans.documents import tei_people
+    from marlstone.plans.registry import Tables
+
+    plan = _plan(tei_people(Tables(spark, sf_dir)))
+    assert "<author>" in plan and "<author>" not in plan[plan.index("Aggregate"):]
