@@ -158,7 +158,7 @@ def s_tei_affiliations(t: Tables) -> DataFrame:
 )
 def s_tei_authors(t: Tables) -> DataFrame:
     """Authors of TEI documents with the keys of their affiliations."""
-    return TEI.authors(TEI.parsed(tei_people(t))).withColumn("affiliations", F.array_join("affiliations", ","))
+    return TEI.authors(TEI.parsed(tei_people(t), parts=["header"])).withColumn("affiliations", F.array_join("affiliations", ","))
 
 
 @query(
