@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+
 
 def asof(left: DataFrame, right: DataFrame, key: str, at: str, take: str, every: int = 86_400) -> DataFrame:
     """left with the take of the latest right row of its key at or before its time (null if none), as column asof_<take>.
@@ -58,3 +60,24 @@ def box_overlap(prefix_a: str, prefix_b: str) -> Column:
     both = w * h
     union = (ax1 - ax0) * (ay1 - ay0) + (bx1 - bx0) * (by1 - by0) - both
     return F.when(union > 0, both / union).otherwise(F.lit(0.0))
+
+
+def overlapping(boxes: DataFrame, group: str, above: float, cell: float = 16.0, block: int = 512) -> DataFrame:
+    """(a, b, iou), a < b: pairs of boxes (id, group, x0, y0, x1, y1) of a group whose intersection over union is greater than above.
+
+    The overlap is worked out once for each pair of different sides that meet in a grid cell, where the least corner of what both share lies; boxes of these sides are then paired without looking at others, so the work is that of the
+    result. Boxes of the same sides go in blocks of about so many, and pairs of blocks are dealt out by number, as few bytes make many pairs."""
+    sides = ["x0", "y0", "x1", "y1"]
+    width = int(boxes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = stored(boxes.groupBy(group, *sides).agg(F.count("*").alias("n")).withColumn("kind", F.monotonically_increasing_id()), "kinds")
+    reach = lambda lo, hi: F.explode(F.expr(f"sequence(int(floor({lo} / {cell})), int(floor({hi} / {cell})))"))
+    cells = kinds.withColumn("i", reach("x0", "x1")).withColumn("j", reach("y0", "y1")).repartition(width, group, "i", "j")
+    side = lambda p: cells.select(group, "i", "j", *[F.col(c).alias(f"{p}_{c}") for c in ("kind", *sides)])
+    first = (F.col("i") == F.floor(F.greatest("a_x0", "b_x0") / cell)) & (F.col("j") == F.floor(F.greatest("a_y0", "b_y0") / cell))
+    met = side("a").join(side("b"), [group, "i", "j"]).filter("a_kind <= b_kind").filter(first)
+    near = stored(met.withColumn("iou", box_overlap("a_", "b_")).filter(F.col("iou") > above).select("a_kind", "b_kind", "iou"), "near")
+    told = boxes.join(kinds, [group, *sides]).groupBy("kind", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block)).alias("k")).agg(F.collect_list("id").alias("ids"))
+    blocks = stored(told.select("kind", "ids"), "blocks")
+    pairs = near.join(blocks.toDF("a_kind", "ps"), "a_kind").join(blocks.toDF("b_kind", "qs"), "b_kind").repartition(width)
+    rows = pairs.select((F.col("a_kind") == F.col("b_kind")).alias("same"), "iou", "qs", F.explode("ps").alias("p")).select("same", "iou", "p", F.explode("qs").alias("q"))
+    return rows.filter("p <> q and (not same or p < q)").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), "iou")

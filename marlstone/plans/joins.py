@@ -173,15 +173,7 @@ _BOXES = "SELECT p_partkey AS id, p_size AS page, (p_partkey % 40) * 1.0 AS x0,
 def j_overlap_pairs(t: Tables) -> DataFrame:
     i = F.col("p_partkey")
     boxes = t.part.select(i.alias("id"), F.col("p_size").alias("page"), (i % 40).cast("double").alias("x0"), (i % 23).cast("double").alias("y0"), (i % 40 + 10).cast("double").alias("x1"), (i % 23 + 8).cast("double").alias("y1"))
-    # a box meets those with a corner in its grid cells only; each pair counts where both first meet
-    cell = 16.0
-    across = F.expr(f"explode(flatten(transform(sequence(int(floor(x0 / {cell})), int(floor(x1 / {cell}))), i -> transform(sequence(int(floor(y0 / {cell})), int(floor(y1 / {cell}))), j -> struct(i as i, j as j)))))")
-    cells = boxes.withColumn("c", across)
-    a = cells.select("page", "c", F.col("id").alias("a"), *[F.col(k).alias(f"a_{k}") for k in ("x0", "y0", "x1", "y1")])
-    b = cells.select("page", "c", F.col("id").alias("b"), *[F.col(k).alias(f"b_{k}") for k in ("x0", "y0", "x1", "y1")])
-    met = a.join(b, ["page", "c"]).filter("a < b")
-    first = (F.col("c.i") == F.floor(F.greatest("a_x0", "b_x0") / cell)) & (F.col("c.j") == F.floor(F.greatest("a_y0", "b_y0") / cell))
-    return met.filter(first).withColumn("iou", J.box_overlap("a_", "b_")).filter("iou > 0.5").select("a", "b", F.round("iou", 6).alias("iou"))
+    return J.overlapping(boxes, "page", 0.5).select("a", "b", F.round("iou", 6).alias("iou"))
 
 
 @query(
