@@ -210,3 +210,12 @@ def test_overlap_is_worked_out_once_for_copies(spark, monkeypatch):
     df = spark.range(600).selectExpr("id", "0 as page", "double(id % 3) as x0", "0D as y0", "double(id % 3 + 10) as x1", "8D as y1")
     assert J.overlapping(df, "page", 0.5).count() == 600 * 599 // 2
     assert made["near"].count() == 6
+
+
+def test_a_brand_of_another_part_is_new_for_a_part_that_has_its_own(spark):
+    from marlstone.operators import refine
+
+    entities = spark.createDataFrame([("e.1", "One", ["Brand#1"]), ("e.1000001", "Other", ["Brand#2"])], "entity_id string, name string, aliases array<string>")
+    patches = spark.createDataFrame([("e.1", "Brand#1"), ("e.1000001", "Brand#1"), ("e.1000002", "Brand#1")], "entity_id string, alias string")
+    got = {r.entity_id: r.outcome for r in refine.expanded(entities, patches)[1].collect()}
+    assert got == {"e.1": "duplicate", "e.1000001": "added", "e.1000002": "missing_target"}
